@@ -17,7 +17,7 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def compare(df: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if columns, types and rows agree, otherwise what differs."""
-    expected = db.execute(sql).fetch_arrow_table()
+    expected = db.execute(sql).to_arrow_table()
     actual = df.toArrow()
     names = sorted(actual.column_names)
     if names != sorted(expected.column_names):

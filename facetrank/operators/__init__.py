@@ -11,6 +11,7 @@ from facetrank.operators.ranking import (
     rank_within,
     rerank_dense,
     top_k,
+    top_k_groups,
     top_ties,
 )
 
@@ -30,6 +31,7 @@ __all__ = [
     "star_join",
     "tokenize_facets",
     "top_k",
+    "top_k_groups",
     "top_ties",
     "without_values",
 ]

@@ -47,6 +47,17 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) ->
     return df.withColumn("_row", row).where(F.col("_row") <= k).drop("_row")
 
 
+def top_k_groups(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int
+) -> DataFrame:
+    """All rows of the first k inner groups of each group.
+
+    ``order`` must tell inner groups apart: rows equal in it are one group.
+    """
+    place = F.dense_rank().over(W.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+
+
 def one_row_per_key(df: DataFrame, key: Sequence[str], prefer: Sequence[Column]) -> DataFrame:
     """The preferred row of each key, for tables that were appended to."""
     return top_k(df, key, prefer, 1)
@@ -58,7 +69,8 @@ def argmax_ties(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     The join key includes the value, so rows of one large group are spread by
     value; the maxima are one row per group.
     """
-    return df.join(group_max(df, by, value), [*by, value], "left_semi")
+    best = group_max(df, by, value)
+    return df.join(best, [*by, value], "left_semi").select(*df.columns)
 
 
 def rank_large_groups(
@@ -69,43 +81,48 @@ def rank_large_groups(
     Rows shrink to one per distinct (group, value) with a count. Each group is
     cut at approximate quantiles into up to ``splits`` + 1 value ranges; a range
     is ranked by itself and shifted by the number of rows in higher ranges. The
-    result is exact for any cuts; the cuts only set the balance. They are
-    checkpointed so that a recomputed task sees the same ones. NULLs rank last.
+    result is exact for any cuts; the cuts only set the balance. The ranges are
+    checkpointed: they are read twice, and must be the same both times even if
+    a lost task is run again. NULLs rank last.
     """
-    by = list(by)
-    values = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_rows"))
+    keys = [f"_{c}" for c in by]
+    values = (
+        df.groupBy(*by, value)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(
+            *[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value).alias("_value"), "_rows"
+        )
+    )
     points = [i / (splits + 1) for i in range(1, splits + 1)]
-    cuts = checkpoint(
-        values.groupBy(*by).agg(F.percentile_approx(value, points, 1000).alias("_cuts"))
+    cuts = values.groupBy(*[F.col(k).alias("_cut" + k) for k in keys]).agg(
+        F.percentile_approx("_value", points, 1000).alias("_cuts")
     )
-    same_group = [F.col(f"v.{c}").eqNullSafe(F.col(f"c.{c}")) for c in by]
-    above = F.size(F.filter("_cuts", lambda cut: cut > F.col("v." + value)))
-    placed = (
-        values.alias("v")
-        .join(cuts.alias("c"), same_group)
-        .select(
-            *[F.col(f"v.{c}").alias(f"_{c}") for c in by],
-            F.col(f"v.{value}").alias("_value"),
+    higher_cuts = F.size(F.filter("_cuts", lambda cut: cut > F.col("_value")))
+    last = F.lit(splits + 1)
+    placed = checkpoint(
+        values.join(cuts, [F.col(k).eqNullSafe(F.col("_cut" + k)) for k in keys]).select(
+            *keys,
+            "_value",
             "_rows",
-            F.when(F.col(f"v.{value}").isNull(), splits + 1).otherwise(above).alias("_range"),
+            F.when(F.col("_value").isNull(), last).otherwise(higher_cuts).alias("_range"),
         )
     )
-    keys = [f"_{c}" for c in by]
+    # At most splits + 2 rows per group.
     before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     shifts = (
         placed.groupBy(*keys, "_range")
         .agg(F.sum("_rows").alias("_n"), F.count(F.lit(1)).alias("_distinct"))
         .select(
-            *[F.col(k).alias("_s" + k) for k in keys],
-            F.col("_range").alias("_s_range"),
+            *[F.col(k).alias("_shift" + k) for k in [*keys, "_range"]],
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_above"),
             F.coalesce(F.sum("_distinct").over(before), F.lit(0)).alias("_values_above"),
         )
     )
-    same_range = [F.col(k).eqNullSafe(F.col("_s" + k)) for k in keys]
     inside = W.partitionBy(*keys, "_range").orderBy(F.desc("_value"))
     earlier = inside.rowsBetween(W.unboundedPreceding, -1)
-    ranks = placed.join(shifts, [*same_range, F.col("_range") == F.col("_s_range")]).select(
+    ranks = placed.join(
+        shifts, [F.col(k).eqNullSafe(F.col("_shift" + k)) for k in [*keys, "_range"]]
+    ).select(
         *keys,
         "_value",
         (F.col("_rows_above") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1).alias(
@@ -113,7 +130,5 @@ def rank_large_groups(
         ),
         (F.col("_values_above") + F.row_number().over(inside)).alias("dense_ranking"),
     )
-    same_value = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    return df.join(ranks, [*same_value, F.col(value).eqNullSafe(F.col("_value"))]).drop(
-        *keys, "_value"
-    )
+    pairs = zip([*by, value], [*keys, "_value"])
+    return df.join(ranks, [F.col(c).eqNullSafe(F.col(k)) for c, k in pairs]).drop(*keys, "_value")

@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from facetrank.operators import look_up, rank_within, rerank_dense, top_k, top_ties
+from facetrank.operators import drop_missing, look_up, top_ties
 from facetrank.plans.facts import facet_means
-from facetrank.plans.reports import GROUP, best_director_for_genres
+from facetrank.plans.reports import GROUP, best_director_for_genres, first_genres, rank_genres
 from facetrank.plans.rules import EXACT, STAGED, FacetRules
 from facetrank.schemas import (
     BEST_DIRECTOR,
@@ -36,28 +37,34 @@ def facet_report(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
     the aggregation to the end.
     """
     means = facet_means(tables, rules)
-    names = tables.names.where(F.col("nameId").isNotNull())
+    names = tables.names.select("nameId", "primaryName")
+    take = {"primaryName": "director_name"}
+    on = ("director", "nameId")
     if rules.named_directors_only:
-        contest = _with_names(means, names.where(F.col("primaryName").isNotNull()))
-        # The genre row is first, its winners (all ties) are second.
-        winners = _first_two_ranks(contest.where(F.col("is_genre") | F.col("_known")))
-    else:
-        winners = _with_names(_first_two_ranks(means), names)
-    groups = (
-        winners.groupBy(*GROUP)
-        .agg(
-            F.max(F.when(F.col("is_genre"), F.col("mean"))).alias("weightedAveRating"),
-            F.count(F.when(F.col("_known"), True)).alias("_winners"),
-            F.sort_array(F.collect_list(F.when(F.col("_known"), F.col("primaryName")))).alias(
-                "best_directors"
-            ),
+        named = look_up(means, drop_missing(names, ["primaryName"]), on, take, how="left")
+        means = named.where(F.col("is_genre") | F.col("director_name").isNotNull())
+    winners = _winners_beside_genre(means)
+    if not rules.named_directors_only:
+        winners = look_up(winners, names, on, take)
+    return first_genres(
+        winners, F.desc("weightedAveRating"), rules.keep, ["weightedAveRating"]
+    ).select(*GROUP, "ranking", "weightedAveRating", "best_directors")
+
+
+def _winners_beside_genre(means: DataFrame) -> DataFrame:
+    """The best director rows of each genre, with the genre's own mean.
+
+    Within a genre its own row is ranked first and the winners, all ties, second;
+    so one rank limit keeps just these before the shuffle.
+    """
+    places = W.partitionBy(*GROUP).orderBy(F.desc("is_genre"), F.desc("mean"))
+    so_far = places.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (
+        means.withColumns(
+            {"_rank": F.rank().over(places), "weightedAveRating": F.first("mean").over(so_far)}
         )
-        .where(F.col("_winners") > 0)
-    )
-    by_mean = F.desc("weightedAveRating")
-    kept = top_k(groups, ["country"], [by_mean, F.col("genre")], rules.keep)
-    return rerank_dense(kept, ["country"], [by_mean]).select(
-        *GROUP, "ranking", "weightedAveRating", "best_directors"
+        .where((F.col("_rank") <= 2) & ~F.col("is_genre"))
+        .drop("_rank", "is_genre", "mean")
     )
 
 
@@ -68,31 +75,13 @@ def top_genres_with_directors(tables: TitleTables, rules: FacetRules = EXACT) ->
     )
 
 
-def _first_two_ranks(means: DataFrame) -> DataFrame:
-    ranked = rank_within(means, GROUP, [F.desc("is_genre"), F.desc("mean")], "_rank")
-    return ranked.where(F.col("_rank") <= 2).drop("_rank")
-
-
-def _with_names(means: DataFrame, names: DataFrame) -> DataFrame:
-    known = names.select("nameId", "primaryName", F.lit(True).alias("_known"))
-    return look_up(
-        means,
-        known,
-        ("director", "nameId"),
-        {"primaryName": "primaryName", "_known": "_known"},
-        how="left",
-    )
-
-
 def facet_batch(
     tables: TitleTables, means: DataFrame | None = None, rules: FacetRules = STAGED
 ) -> FacetBatch:
     """The three results. Pass stored ``means`` to compute the sums only once."""
     means = facet_means(tables, rules) if means is None else means
-    genres = rank_within(
-        means.where("is_genre").select(*GROUP, F.col("mean").alias("weightedAveRating")),
-        ["country"],
-        [F.desc("weightedAveRating")],
+    genres = rank_genres(
+        means.where("is_genre").select(*GROUP, F.col("mean").alias("weightedAveRating")), rules
     )
     directors = means.where(~F.col("is_genre")).select(
         *GROUP, "director", F.col("mean").alias("weighted_rating")

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facetrank.operators import (
     collect_sorted,
     look_up,
+    rank_large_groups,
     rank_within,
     rerank_dense,
-    top_k,
+    top_k_groups,
     top_ties,
 )
 from facetrank.plans.facts import director_means, genre_means
@@ -22,9 +23,21 @@ GROUP = ["country", "genre"]
 
 def top_genre(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
     """Every genre of every country with its weighted mean rating and rank."""
-    return rank_within(
-        genre_means(tables, rules), ["country"], [F.desc("weightedAveRating")]
-    ).select("country", "genre", "weightedAveRating", "ranking")
+    return rank_genres(genre_means(tables, rules), rules)
+
+
+def rank_genres(means: DataFrame, rules: FacetRules) -> DataFrame:
+    """Rank (country, genre, weightedAveRating) rows within their country.
+
+    A task ranks the genres of a country, one row each; with ``many_genres`` a
+    country is ranked by several tasks.
+    """
+    if rules.many_genres:
+        ranked = rank_large_groups(means, ["country"], "weightedAveRating")
+        ranked = ranked.withColumn("ranking", F.col("ranking").cast("int"))
+    else:
+        ranked = rank_within(means, ["country"], [F.desc("weightedAveRating")])
+    return ranked.select(*GROUP, "weightedAveRating", "ranking")
 
 
 def best_director(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
@@ -51,17 +64,22 @@ def best_director_for_genres(genres: DataFrame, directors: DataFrame, keep: int
     """The first genres of each country with an array of their best directors.
 
     Takes the results (or stored tables) of :func:`top_genre` and
-    :func:`best_director`. Genres without a director are left out before the
-    countries are cut; names are collected for the genres that remain.
+    :func:`best_director`. Genres without a director do not count.
     """
-    with_winner = genres.select(*GROUP, F.col("ranking").alias("_before")).join(
-        directors.select(*GROUP), GROUP, "left_semi"
+    rows = genres.select(*GROUP, F.col("ranking").alias("_before")).join(
+        directors.select(*GROUP, "director_name"), GROUP
     )
-    kept = top_k(with_winner, ["country"], [F.col("_before"), F.col("genre")], keep)
-    ranked = rerank_dense(kept, ["country"], [F.col("_before")])
+    return first_genres(rows, F.col("_before"), keep, [])
+
+
+def first_genres(rows: DataFrame, order: Column, keep: int, carry: list[str]) -> DataFrame:
+    """From one row per (country, genre, winner) to one per kept genre.
+
+    The cut comes before the names are collected, and ties in it go by genre.
+    Ranks are dense; those of the kept genres do not depend on the others.
+    """
+    kept = top_k_groups(rows, ["country"], [order, F.col("genre")], keep)
+    ranked = rerank_dense(kept, ["country"], [order])
     return collect_sorted(
-        ranked.join(directors.select(*GROUP, "director_name"), GROUP),
-        [*GROUP, "ranking"],
-        "director_name",
-        "best_directors",
+        ranked, [*GROUP, "ranking", *carry], "director_name", "best_directors"
     )

@@ -155,6 +155,10 @@ FINAL = _with(
     """,
 )
 
+RANKS = _with(
+    STAGED, 'select country, genre, m as "weightedAveRating", place as ranking from genre_ranks'
+)
+
 SQL: dict[str, str] = {
     # Sources and sinks
     "scan_tsv_header": _with(
@@ -411,10 +415,8 @@ SQL: dict[str, str] = {
         """,
     ),
     # Reports
-    "top_genre": _with(
-        STAGED,
-        'select country, genre, m as "weightedAveRating", place as ranking from genre_ranks',
-    ),
+    "top_genre": RANKS,
+    "top_genre_many": RANKS,
     "top_genre_credited": _with(
         FACETS,
         """

@@ -1,4 +1,4 @@
-"""Equi-joins. No hints: Catalyst broadcasts a side only below its size limit."""
+"""Equi-joins."""
 
 from __future__ import annotations
 
@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def star_join(fact: DataFrame, *others: DataFrame, key: str) -> DataFrame:
-    """Inner joins of all tables on one key.
+def star_join(
+    fact: DataFrame, *others: DataFrame, key: str, how: str = "inner", strategy: str | None = None
+) -> DataFrame:
+    """Joins of all tables on one key.
 
     Every join clusters on the same key, so each table is shuffled at most
-    once, and not at all if it is bucketed by the key.
+    once, and not at all if it is bucketed by the key. ``strategy`` is a join
+    hint; by default Catalyst chooses, and broadcasts a table only below its
+    size limit.
     """
-    return reduce(lambda left, right: left.join(right, key), others, fact)
+
+    def hinted(table: DataFrame) -> DataFrame:
+        return table.hint(strategy) if strategy else table
+
+    return reduce(lambda left, right: left.join(hinted(right), key, how), others, fact)
 
 
 def look_up(

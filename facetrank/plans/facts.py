@@ -20,6 +20,16 @@ from facetrank.schemas import TitleTables
 FACETS = {"genres": "genre", "countries": "country"}
 
 
+def join_titles(titles: DataFrame, *others: DataFrame, how: str = "inner") -> DataFrame:
+    """Star join of title tables.
+
+    They all grow with the number of titles, so none is broadcast: buckets (or
+    shuffled partitions) of the same titles are merged, and a skewed one can be
+    split at run time.
+    """
+    return star_join(titles, *others, key="titleId", how=how, strategy="merge")
+
+
 def eligible_titles(basics: DataFrame, rules: FacetRules) -> DataFrame:
     """Titles of the right type and age that have genres; filters reach the scan."""
     chosen = basics.where(
@@ -38,18 +48,14 @@ def rated_titles(tables: TitleTables, rules: FacetRules) -> DataFrame:
     )
     if rules.dedupe_countries:
         countries = one_row_per_key(countries, ["titleId"], [F.col("countries")])
-    return star_join(
-        eligible_titles(tables.basics, rules),
-        weigh(ratings, "rating", "numVotes", rules.rating_scale),
-        countries,
-        key="titleId",
-    )
+    titles = join_titles(eligible_titles(tables.basics, rules), ratings, countries)
+    return weigh(titles, "rating", "numVotes", rules.rating_scale)
 
 
 def credited_titles(tables: TitleTables, rules: FacetRules) -> DataFrame:
     """Rated titles with at least one director."""
     crew = keep_filled(tables.crew.select("titleId", "directors"), "directors")
-    return star_join(rated_titles(tables, rules), crew, key="titleId")
+    return join_titles(rated_titles(tables, rules), crew)
 
 
 def explode_by_rules(titles: DataFrame, facets: dict[str, str], rules: FacetRules) -> DataFrame:
@@ -65,7 +71,7 @@ def genre_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     titles = rated_titles(tables, rules)
     if rules.genres_need_directors:
         crew = drop_missing(tables.crew.select("titleId", "directors"), ["directors"])
-        titles = star_join(titles, crew.select("titleId"), key="titleId")
+        titles = join_titles(titles, crew.select("titleId"))
     return (
         explode_by_rules(titles, FACETS, rules)
         .groupBy("country", "genre")
@@ -102,15 +108,14 @@ def facet_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     titles = rated_titles(tables, rules)
     if rules.genres_need_directors:
         crew = drop_missing(crew, ["directors"]).withColumn("_own", F.lit(True))
-        titles = star_join(titles, crew, key="titleId")
+        titles = join_titles(titles, crew)
     else:
         # Here the crew must not multiply the genre's share: one crew row of a
         # title carries it. Any row will do.
         nth = F.row_number().over(W.partitionBy("titleId").orderBy("titleId"))
         crew = crew.withColumn("_own", nth == 1)
-        titles = titles.join(crew, "titleId", "left").withColumn(
-            "_own", F.coalesce("_own", F.lit(True))
-        )
+        titles = join_titles(titles, crew, how="left")
+        titles = titles.withColumn("_own", F.coalesce("_own", F.lit(True)))
     no_items = F.array().cast("array<string>")
     directors = F.coalesce("directors", no_items)
     if rules.drop_empty_items:

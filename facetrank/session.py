@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SCRATCH_DATABASE = "facetrank_scratch"
 
 
 def build_session(
@@ -55,6 +56,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """A database of scratch tables, stored below the shared folder."""
+    folder = shared_folder(spark)
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{folder}/{SCRATCH_DATABASE}'"
+    )
+    return SCRATCH_DATABASE
+
+
+def scratch_name(name: str) -> str:
+    """A fresh table name."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 def checkpoint(df):
     """Reliable checkpoint in the shared folder (never a local one)."""
     spark = df.sparkSession

@@ -28,9 +28,10 @@ def overwrite_table(
 ) -> DataFrame:
     """Replace a parquet table with the rows of ``df`` and return it.
 
-    With ``bucket_by`` rows are clustered first, so that each bucket is one
-    sorted file; skip that with ``clustered`` if they come from files of the
-    same buckets. The number of buckets defaults to the session's shuffle
+    With ``bucket_by`` rows are clustered first, so that a bucket is one sorted
+    file; one too large for a task is split at run time into several files of
+    the same bucket. ``clustered`` skips that for rows that come from files of
+    the same buckets. The number of buckets defaults to the session's shuffle
     partitions, which is how the table would be shuffled otherwise.
     """
     spark = df.sparkSession
@@ -38,7 +39,7 @@ def overwrite_table(
     if bucket_by:
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if not clustered:
-            df = df.repartition(buckets, bucket_by)
+            df = df.hint("rebalance", buckets, F.col(bucket_by))
     writer = df.write.format("parquet").mode("overwrite")
     if bucket_by:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)

@@ -7,13 +7,11 @@ application in the shared folder; every query then reads the stored tables.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetrank.schemas import TitleTables
-from facetrank.session import scratch_path
+from facetrank.session import scratch_database, scratch_name
 from facetrank.sinks.tables import overwrite_table
 
 ROWS_PER_BUCKET = 16_000_000
@@ -91,14 +89,18 @@ def derive(spark: SparkSession, sf_dir: str, facts: DataFrame) -> TitleTables:
 
 def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
     """Derive and store the inputs, bucketed by their join keys."""
-    tag = f"titles_{uuid.uuid4().hex[:12]}"
-    folder = scratch_path(spark, "titles")
+    database = scratch_database(spark)
     rows = source(spark, sf_dir, "lineitem").count()
     buckets = max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))
 
     def store(name: str, df: DataFrame, key: str, clustered: bool) -> DataFrame:
         return overwrite_table(
-            df, f"{tag}_{name}", None, f"{folder}/{name}", key, buckets, clustered
+            df,
+            scratch_name(name),
+            database,
+            bucket_by=key,
+            buckets=buckets,
+            clustered=clustered,
         )
 
     facts = store("facts", line_facts(spark, sf_dir), "titleId", False)

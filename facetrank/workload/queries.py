@@ -45,7 +45,7 @@ from facetrank.schemas import (
     INPUTS,
     TitleTables,
 )
-from facetrank.session import scratch_path
+from facetrank.session import scratch_database, scratch_name, scratch_path
 from facetrank.sinks import append_rows, insert_overwrite, overwrite_table, write_delimited
 from facetrank.sources import countries_from_responses, read_delimited
 from facetrank.workload.inputs import inputs, source
@@ -192,20 +192,19 @@ def null_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load replaces the first."""
     crew = inputs(spark, sf_dir).crew
-    path = scratch_path(spark, "crew")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    overwrite_table(crew, name, path=path, bucket_by="titleId", buckets=8)
-    stored = overwrite_table(crew, name, path=path, bucket_by="titleId", buckets=8)
+    database, table = scratch_database(spark), scratch_name("crew")
+    overwrite_table(crew, table, database, bucket_by="titleId")
+    stored = overwrite_table(crew, table, database, bucket_by="titleId")
     return stored.select("titleId", joined_text("directors", "directors_text"))
 
 
 @query("insert_overwrite")
 def insert_overwrite_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     winners = plans.best_director(inputs(spark, sf_dir), STAGED)
-    path = scratch_path(spark, "best_director")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
     by_other_name = winners.withColumnRenamed("weighted_rating", "rating")
-    return insert_overwrite(by_other_name, name, BEST_DIRECTOR, path=path)
+    return insert_overwrite(
+        by_other_name, scratch_name("best_director"), BEST_DIRECTOR, scratch_database(spark)
+    )
 
 
 @query("store_tsv_array")
@@ -224,10 +223,9 @@ def store_tsv_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("append_dedupe")
 def append_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     countries = inputs(spark, sf_dir).countries
-    path = scratch_path(spark, "appended")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    append_rows(countries, name, path=path)
-    twice = append_rows(countries, name, path=path)
+    database, table = scratch_database(spark), scratch_name("appended")
+    append_rows(countries, table, database)
+    twice = append_rows(countries, table, database)
     return one_row_per_key(twice, ["titleId"], [F.col("country")]).select(
         "titleId", joined_text("country", "country_text")
     )
@@ -583,13 +581,12 @@ def facet_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facet_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From text files to the stored result."""
     t = inputs(spark, sf_dir)
-    folder = scratch_path(spark, "batch")
+    folder, database = scratch_path(spark, "batch"), scratch_name("batch")
     paths = {name: f"{folder}/text/{name}" for name in INPUTS}
     for name, form in INPUTS.items():
         write_delimited(getattr(t, name), paths[name], header=form.header)
-    database = folder.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE DATABASE `{database}` LOCATION '{folder}/database'")
-    batch = plans.run_facet_batch(spark, paths, database, buckets=8, rules=STAGED)
+    batch = plans.run_facet_batch(spark, paths, database, rules=STAGED)
     return _with_text(batch.best_director_for_genres)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,10 @@ from facetrank.sinks.tables import insert_overwrite, overwrite_table
 from facetrank.sources.titles import load_titles, read_titles
 
 
+# Genres of one country that a single task may rank.
+MAX_RANKED_IN_A_TASK = 5_000_000
+
+
 class FacetBatch(NamedTuple):
     top_genre: DataFrame
     best_director: DataFrame
@@ -106,6 +111,12 @@ def facet_batch(
     return FacetBatch(genres, winners, best_director_for_genres(genres, winners, rules.keep))
 
 
+def _largest_country(means: DataFrame) -> int:
+    """Number of genres of the country with the most; one value from a stored table."""
+    sizes = means.where("is_genre").groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def run_facet_batch(
     spark: SparkSession,
     paths: Mapping[str, str],
@@ -126,6 +137,8 @@ def run_facet_batch(
 
     tables = load_titles(read_titles(spark, paths, header), database, folder, buckets)
     means = overwrite_table(facet_means(tables, rules), "facet_means", database, at("facet_means"))
+    if not rules.many_genres:
+        rules = replace(rules, many_genres=_largest_country(means) > MAX_RANKED_IN_A_TASK)
     lazy = facet_batch(tables, means, rules)
     genres = insert_overwrite(lazy.top_genre, "top_genre", TOP_GENRE, database, at("top_genre"))
     directors = insert_overwrite(

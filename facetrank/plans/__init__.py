@@ -5,6 +5,7 @@ from facetrank.plans.batch import (
     facet_batch,
     facet_report,
     run_facet_batch,
+    store_rankings,
     top_genres_with_directors,
 )
 from facetrank.plans.reports import (
@@ -24,6 +25,7 @@ __all__ = [
     "facet_batch",
     "facet_report",
     "run_facet_batch",
+    "store_rankings",
     "top_genre",
     "top_genres_with_directors",
 ]

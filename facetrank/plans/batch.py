@@ -117,25 +117,22 @@ def _largest_country(means: DataFrame) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
-def run_facet_batch(
-    spark: SparkSession,
-    paths: Mapping[str, str],
+def store_rankings(
+    tables: TitleTables,
     database: str | None = None,
     folder: str | None = None,
-    buckets: int | None = None,
     rules: FacetRules = STAGED,
-    header: Mapping[str, bool] | None = None,
 ) -> FacetBatch:
-    """Text files in, stored tables out.
+    """Compute the three results and replace their tables.
 
-    Inputs, means and results are written tables, so a lost executor costs one
-    stage at most and each step reads what the one before has stored.
+    The means are a written table too, so the sums are computed once, a lost
+    executor costs one stage at most, and each step reads what the one before
+    has stored.
     """
 
     def at(name: str) -> str | None:
         return f"{folder}/{name}" if folder else None
 
-    tables = load_titles(read_titles(spark, paths, header), database, folder, buckets)
     means = overwrite_table(facet_means(tables, rules), "facet_means", database, at("facet_means"))
     if not rules.many_genres:
         rules = replace(rules, many_genres=_largest_country(means) > MAX_RANKED_IN_A_TASK)
@@ -152,3 +149,17 @@ def run_facet_batch(
         at("best_director_for_genres"),
     )
     return FacetBatch(genres, directors, merged)
+
+
+def run_facet_batch(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    database: str | None = None,
+    folder: str | None = None,
+    buckets: int | None = None,
+    rules: FacetRules = STAGED,
+    header: Mapping[str, bool] | None = None,
+) -> FacetBatch:
+    """Text files in, stored tables out."""
+    tables = load_titles(read_titles(spark, paths, header), database, folder, buckets)
+    return store_rankings(tables, database, folder, rules)

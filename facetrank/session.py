@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 SCRATCH_DATABASE = "facetrank_scratch"
 
+_local_folders: dict[str, str] = {}
+
 
 def build_session(
     app: str = "facetrank", master: str | None = None, conf: dict[str, str] | None = None
@@ -46,9 +48,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="facetrank-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="facetrank-")
+    return _local_folders[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -87,11 +87,16 @@ def derive(spark: SparkSession, sf_dir: str, facts: DataFrame) -> TitleTables:
     )
 
 
+def bucket_count(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets for the title tables, by the number of lines (read from file footers)."""
+    rows = source(spark, sf_dir, "lineitem").count()
+    return max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+
+
 def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
     """Derive and store the inputs, bucketed by their join keys."""
     database = scratch_database(spark)
-    rows = source(spark, sf_dir, "lineitem").count()
-    buckets = max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+    buckets = bucket_count(spark, sf_dir)
 
     def store(name: str, df: DataFrame, key: str, clustered: bool) -> DataFrame:
         return overwrite_table(

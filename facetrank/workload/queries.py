@@ -48,7 +48,7 @@ from facetrank.schemas import (
 from facetrank.session import scratch_database, scratch_name, scratch_path
 from facetrank.sinks import append_rows, insert_overwrite, overwrite_table, write_delimited
 from facetrank.sources import countries_from_responses, read_delimited
-from facetrank.workload.inputs import inputs, source
+from facetrank.workload.inputs import bucket_count, inputs, source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,8 +193,9 @@ def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load replaces the first."""
     crew = inputs(spark, sf_dir).crew
     database, table = scratch_database(spark), scratch_name("crew")
-    overwrite_table(crew, table, database, bucket_by="titleId")
-    stored = overwrite_table(crew, table, database, bucket_by="titleId")
+    buckets = bucket_count(spark, sf_dir)
+    for _ in range(2):
+        stored = overwrite_table(crew, table, database, bucket_by="titleId", buckets=buckets)
     return stored.select("titleId", joined_text("directors", "directors_text"))
 
 
@@ -586,7 +587,9 @@ def facet_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, form in INPUTS.items():
         write_delimited(getattr(t, name), paths[name], header=form.header)
     spark.sql(f"CREATE DATABASE `{database}` LOCATION '{folder}/database'")
-    batch = plans.run_facet_batch(spark, paths, database, rules=STAGED)
+    batch = plans.run_facet_batch(
+        spark, paths, database, buckets=bucket_count(spark, sf_dir), rules=STAGED
+    )
     return _with_text(batch.best_director_for_genres)
 
 

@@ -10,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from facetrank.operators import drop_missing, look_up, top_ties
+from facetrank.operators import drop_missing, look_up
 from facetrank.plans.facts import facet_means
-from facetrank.plans.reports import GROUP, best_director_for_genres, first_genres, rank_genres
+from facetrank.plans.reports import (
+    GROUP,
+    best_director_for_genres,
+    first_genres,
+    rank_genres,
+    winners,
+)
 from facetrank.plans.rules import EXACT, STAGED, FacetRules
 from facetrank.schemas import (
     BEST_DIRECTOR,
@@ -23,7 +29,6 @@ from facetrank.schemas import (
 from facetrank.sinks.tables import insert_overwrite, overwrite_table
 from facetrank.sources.titles import load_titles, read_titles
 
-
 # Genres of one country that a single task may rank.
 MAX_RANKED_IN_A_TASK = 5_000_000
 
@@ -48,11 +53,11 @@ def facet_report(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
     if rules.named_directors_only:
         named = look_up(means, drop_missing(names, ["primaryName"]), on, take, how="left")
         means = named.where(F.col("is_genre") | F.col("director_name").isNotNull())
-    winners = _winners_beside_genre(means)
+    rows = _winners_beside_genre(means)
     if not rules.named_directors_only:
-        winners = look_up(winners, names, on, take)
+        rows = look_up(rows, names, on, take)
     return first_genres(
-        winners, F.desc("weightedAveRating"), rules.keep, ["weightedAveRating"]
+        rows, F.desc("weightedAveRating"), rules.keep, ["weightedAveRating"]
     ).select(*GROUP, "ranking", "weightedAveRating", "best_directors")
 
 
@@ -91,24 +96,8 @@ def facet_batch(
     directors = means.where(~F.col("is_genre")).select(
         *GROUP, "director", F.col("mean").alias("weighted_rating")
     )
-    best = [F.desc("weighted_rating")]
-    if rules.named_directors_only:
-        named = look_up(
-            directors,
-            tables.names.where(F.col("primaryName").isNotNull()),
-            ("director", "nameId"),
-            {"primaryName": "director_name"},
-        )
-        winners = top_ties(named, GROUP, best)
-    else:
-        winners = look_up(
-            top_ties(directors, GROUP, best),
-            tables.names,
-            ("director", "nameId"),
-            {"primaryName": "director_name"},
-        )
-    winners = winners.select(*GROUP, "director_name", "weighted_rating")
-    return FacetBatch(genres, winners, best_director_for_genres(genres, winners, rules.keep))
+    best = winners(directors, tables.names, rules)
+    return FacetBatch(genres, best, best_director_for_genres(genres, best, rules.keep))
 
 
 def _largest_country(means: DataFrame) -> int:

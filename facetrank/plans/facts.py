@@ -111,7 +111,8 @@ def facet_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
         titles = join_titles(titles, crew)
     else:
         # Here the crew must not multiply the genre's share: one crew row of a
-        # title carries it. Any row will do.
+        # title carries it. Any row will do. The numbering streams over rows that
+        # the merge join clusters and sorts in the same way.
         nth = F.row_number().over(W.partitionBy("titleId").orderBy("titleId"))
         crew = crew.withColumn("_own", nth == 1)
         titles = join_titles(titles, crew, how="left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from facetrank.operators import (
     collect_sorted,
+    drop_missing,
     look_up,
     rank_large_groups,
     rank_within,
@@ -41,23 +42,24 @@ def rank_genres(means: DataFrame, rules: FacetRules) -> DataFrame:
 
 
 def best_director(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
-    """All best-rated directors of every (country, genre).
+    """All best-rated directors of every (country, genre)."""
+    return winners(director_means(tables, rules), tables.names, rules)
 
-    Means and ranks are taken on ids; names come last, for the winners only,
-    unless the rules want unnamed directors out of the contest.
+
+def winners(means: DataFrame, names: DataFrame, rules: FacetRules) -> DataFrame:
+    """The named winners among (country, genre, director, weighted_rating) rows.
+
+    Ranks are taken on ids; names come last, for the winners only, unless the
+    rules want unnamed directors out of the contest.
     """
-    means = director_means(tables, rules)
-    names = tables.names
+    on, take = ("director", "nameId"), {"primaryName": "director_name"}
+    best = [F.desc("weighted_rating")]
     if rules.named_directors_only:
-        named = _named(means, names.where(F.col("primaryName").isNotNull()))
-        winners = top_ties(named, GROUP, [F.desc("weighted_rating")])
+        named = look_up(means, drop_missing(names, ["primaryName"]), on, take)
+        won = top_ties(named, GROUP, best)
     else:
-        winners = _named(top_ties(means, GROUP, [F.desc("weighted_rating")]), names)
-    return winners.select(*GROUP, "director_name", "weighted_rating")
-
-
-def _named(df: DataFrame, names: DataFrame) -> DataFrame:
-    return look_up(df, names, ("director", "nameId"), {"primaryName": "director_name"})
+        won = look_up(top_ties(means, GROUP, best), names, on, take)
+    return won.select(*GROUP, "director_name", "weighted_rating")
 
 
 def best_director_for_genres(genres: DataFrame, directors: DataFrame, keep: int = 3) -> DataFrame:

@@ -30,7 +30,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 @contextmanager
-def _freed_shuffles(spark: SparkSession):
+def freed_shuffles(spark: SparkSession):
     before = spark.conf.get(_FREE_SHUFFLES, None)
     spark.conf.set(_FREE_SHUFFLES, "true")
     try:
@@ -50,7 +50,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with _freed_shuffles(spark):
+    with freed_shuffles(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

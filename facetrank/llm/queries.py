@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from facetrank.llm import decontaminate, exactdup, mixing, quality
+from facetrank.llm import (
+    decontaminate,
+    exactdup,
+    mixing,
+    neardup,
+    quality,
+    tokencount,
+    tokenfile,
+)
 from facetrank.llm.common import table
+from facetrank.session import scratch_path
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +32,29 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(
+    spark: SparkSession, sf_dir: str, vocabulary: str | None = None
+) -> DataFrame:
+    model = Path(vocabulary or public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), model)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """Digests of ``docs`` read back from token files written for them."""
+    definition = Path(vocabulary or public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
+    path = scratch_path(spark, "token_files")
+    tokenfile.write(docs, path, definition)
+    return tokenfile.digests(spark, path)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -34,6 +69,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mix": op2_mix,
         "op4_decontaminate": op4_decontaminate,
+        "op6_near_dedup": op6_near_dedup,
+        "op7_token_counts": op7_token_counts,
+        "op8_token_files": op8_token_files,
         "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
     }

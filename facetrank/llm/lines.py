@@ -336,7 +336,7 @@ def deduplicated_lines(docs: DataFrame) -> DataFrame:
         places.select("doc_id", "text_hash", "line", "places")
         .distinct()
         .join(marked, F.col("line") == F.col("marked"))
-        .select("doc_id", "text_hash", F.when("near", F.col("places")).otherwise(others).alias("drop"))
+        .select("doc_id", "text_hash", F.when(F.col("near"), F.col("places")).otherwise(others).alias("drop"))
         .groupBy(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"))
         .agg(F.flatten(F.collect_list("drop")).alias("drop"))
     )

@@ -8,10 +8,14 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from facetrank.llm import (
     decontaminate,
     exactdup,
+    hpylm,
+    licenses,
+    lines,
     mixing,
     neardup,
     quality,
@@ -22,16 +26,49 @@ from facetrank.llm.common import table
 from facetrank.session import scratch_path
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.scores(table(spark, sf_dir, "documents"))
+
+
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
 
 
+def document_files(docs: DataFrame) -> DataFrame:
+    """``documents`` as a file tree: source/lang/thousand of the id/file.
+
+    A document that opens with a licence notice is named as a licence file.
+    """
+    opens = F.coalesce(F.col("text").rlike(r"(?i)^[^\n]*\b(licen[sc]ed|license)\b"), F.lit(False))
+    number = F.col("doc_id").cast("string")
+    return docs.select(
+        F.col("doc_id").alias("file_id"),
+        F.concat_ws(
+            "/",
+            "source",
+            "lang",
+            F.floor(F.col("doc_id") / 1000).cast("string"),
+            F.when(opens, F.concat(F.lit("LICENSE-"), number)).otherwise(F.concat(number, F.lit(".txt"))),
+        ).alias("path"),
+        "text",
+    )
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = document_files(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -67,8 +104,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scores": op1_lm_scores,
         "op2_mix": op2_mix,
+        "op3_line_dedup": op3_line_dedup,
         "op4_decontaminate": op4_decontaminate,
+        "op5_licenses": op5_licenses,
         "op6_near_dedup": op6_near_dedup,
         "op7_token_counts": op7_token_counts,
         "op8_token_files": op8_token_files,

@@ -7,22 +7,37 @@
 
 ``load`` replaces the five input tables, ``rank`` the three result tables;
 ``report`` goes from text to text in the exact variant; ``countries`` appends to
-the country file from landed responses (JSON lines with titleId and body).
+the country file that ``load`` and ``report`` read, from landed responses (JSON
+lines with titleId and body). A title may be fetched and appended more than once;
+the other jobs count one of its rows. Bodies that are no JSON object, and values
+that would tear a line, are appended to ``rejects`` as JSON lines and counted.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from facetrank import plans
 from facetrank.functions import split_field
-from facetrank.operators import distinct_values
+from facetrank.schemas import MISSING
 from facetrank.session import build_session
-from facetrank.sinks import write_delimited
-from facetrank.sources import countries_from_responses, load_titles, open_titles, read_titles
+from facetrank.sinks import is_writable, write_delimited
+from facetrank.sources import (
+    countries_from_responses,
+    country_values,
+    load_titles,
+    open_titles,
+    read_titles,
+)
+
+# Countries are appended to, so the jobs keep one row per title.
+STAGED = replace(plans.STAGED, dedupe_countries=True)
+EXACT = replace(plans.EXACT, dedupe_countries=True)
 
 # The names of the published files.
 FILES = {
@@ -43,26 +58,39 @@ def load(spark, args) -> None:
 
 
 def rank(spark, args) -> None:
-    plans.store_rankings(open_titles(spark, args.database), args.database)
+    plans.store_rankings(open_titles(spark, args.database), args.database, rules=STAGED)
 
 
 def report(spark, args) -> None:
     tables = read_titles(
         spark, input_paths(args.input), {"countries": args.country_header}, quoted=args.quoted
     )
-    ranked = plans.top_genres_with_directors(tables)
+    ranked = plans.top_genres_with_directors(tables, EXACT)
     write_delimited(ranked.orderBy("country", F.desc("weightedAveRating"), "genre"), args.output)
 
 
 def countries(spark, args) -> None:
     responses = spark.read.schema("titleId string, body string").json(args.responses)
-    good, bad = countries_from_responses(responses)
-    table = f"{args.output}/title.country"
-    write_delimited(good.select("titleId", "countryText"), table, mode="append")
-    write_delimited(bad, f"{args.output}/rejects", mode="append")
-    # The values of all runs, from the file just written rather than the bodies.
-    stored = spark.read.text(table).select(split_field("value", 2).alias("country"))
-    write_delimited(distinct_values(stored, "country"), f"{args.output}/values", mode="overwrite")
+    rows = countries_from_responses(responses).drop("country")
+    whole = is_writable(rows.select("titleId", "countryText"))
+    rows = rows.withColumn("rejected", F.col("rejected") | ~whole)
+    # One pass over the bodies; both outputs come from what it stored.
+    run = f"{args.output}/runs/{uuid.uuid4().hex[:12]}"
+    rows.write.partitionBy("rejected").parquet(run)
+    stored = spark.read.schema(rows.schema).parquet(run)
+    table = f"{args.output}/{FILES['countries']}"
+    write_delimited(
+        stored.where("not rejected").select("titleId", "countryText"), table, mode="append"
+    )
+    bad = stored.where("rejected").select("titleId", "countryText", "body")
+    bad.write.mode("append").json(f"{args.output}/rejects")
+    print(f"rejected: {bad.count()}")
+    # The values of all runs, from the file that holds them.
+    text = spark.read.text(table).select(
+        F.nullif(split_field("value", 2), F.lit(MISSING)).alias("countryText")
+    )
+    values = country_values(text, exploded=args.exploded)
+    write_delimited(values, f"{args.output}/values", mode="overwrite")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -85,6 +113,7 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("countries")
     job.add_argument("--responses", required=True)
     job.add_argument("--output", required=True)
+    job.add_argument("--exploded", action="store_true", help="values are single countries")
     job.set_defaults(run=countries)
     args = parser.parse_args(argv)
     args.run(build_session(), args)

@@ -2,17 +2,11 @@
 
 Ranks and argmax compare means for equality, so two groups made of the same
 titles must get the same double whatever the partitioning. A plain sum of
-doubles does not promise that. Here each value is taken apart per row, before
-any explode:
-
-    value = grid / 10**scale + rest
-
-``grid`` is an integer; ``rest`` is exactly 0.0 for a value with at most
-``scale`` decimals (checked by the division being correctly rounded). Integer
-sums are exact; the sum of the rests is exactly 0.0 for such data. Values off
-the grid are never rounded: their rest is summed as a double.
-
-Sums of integers are 64 bit and raise under ANSI mode instead of wrapping.
+doubles does not promise that. So values are summed in one declared decimal type:
+a value is an integer number of millionths (``scale`` decimals), and products and
+sums are decimals of 38 digits, which are exact. A value that has more decimals,
+or is not finite or too large, raises an error, and so does a sum that does not
+fit; nothing is rounded or wraps.
 """
 
 from __future__ import annotations
@@ -22,35 +16,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRID, REST, WEIGHT = "_grid", "_rest", "_weight"
-# Larger magnitudes go to the rest, so that grid * weight stays in 64 bits.
-_GRID_LIMIT = 1e6
+PRODUCT, WEIGHT = "_product", "_weight"
+SCALE = 6
+_WHOLE = "decimal(18,0)"
+_SUM = "decimal(38,0)"
 
 
-def weigh(df: DataFrame, value: str, weight: str, scale: int = 1) -> DataFrame:
-    """Replace ``value`` and ``weight`` by three summable parts."""
-    unit = float(10**scale)
-    v, w = F.col(value).cast("double"), F.col(weight)
-    grid = F.when(F.abs(v) < _GRID_LIMIT, F.rint(v * unit).cast("long")).otherwise(
-        F.lit(0).cast("long")
+def weigh(df: DataFrame, value: str, weight: str, scale: int = SCALE) -> DataFrame:
+    """Replace ``value`` and ``weight`` by two summable parts."""
+    unit = F.lit(float(10**scale))
+    v = F.col(value).cast("double")
+    whole = F.rint(v * unit)
+    fits = (whole / unit == v) & (F.abs(whole) < F.lit(1e15))
+    refused = F.raise_error(
+        F.concat(F.lit("value does not fit the declared decimals: "), v.cast("string"))
     )
+    whole = F.when(v.isNull() | fits, whole.cast("bigint")).otherwise(refused.cast("bigint"))
+    w = F.col(weight)
     return df.select(
         *[c for c in df.columns if c not in (value, weight)],
-        (grid * w).alias(GRID),
-        ((v - grid / F.lit(unit)) * w).alias(REST),
+        (whole.cast(_WHOLE) * w.cast(_WHOLE)).cast(_SUM).alias(PRODUCT),
         w.alias(WEIGHT),
     )
 
 
 def sum_parts() -> list[Column]:
     """Aggregates over the parts made by :func:`weigh`; they combine map-side."""
-    return [F.sum(part).alias(part) for part in (GRID, REST, WEIGHT)]
+    return [F.sum(part).alias(part) for part in (PRODUCT, WEIGHT)]
+
+
+def total_from_sums(scale: int = SCALE) -> Column:
+    """Sum of value * weight."""
+    return F.col(PRODUCT).cast("double") / F.lit(float(10**scale))
 
 
-def mean_from_sums(scale: int = 1, digits: int | None = None) -> Column:
+def mean_from_sums(digits: int | None = None, scale: int = SCALE) -> Column:
     """Mean from summed parts; NULL when the weights add up to zero."""
-    total = F.col(GRID).cast("double") / F.lit(float(10**scale)) + F.col(REST)
-    mean = F.try_divide(total, F.col(WEIGHT).cast("double"))
+    mean = F.try_divide(total_from_sums(scale), F.col(WEIGHT).cast("double"))
     return mean if digits is None else F.round(mean, digits)
 
 
@@ -60,8 +62,8 @@ def weighted_mean(
     value: str,
     weight: str,
     name: str,
-    scale: int = 1,
     digits: int | None = None,
+    scale: int = SCALE,
 ) -> DataFrame:
     """One row per group with sum(value * weight) / sum(weight).
 
@@ -72,5 +74,5 @@ def weighted_mean(
     return (
         parts.groupBy(*by)
         .agg(*sum_parts())
-        .select(*by, mean_from_sums(scale, digits).alias(name))
+        .select(*by, mean_from_sums(digits, scale).alias(name))
     )

@@ -11,7 +11,6 @@ from facetrank.operators.ranking import (
     rank_within,
     rerank_dense,
     top_k,
-    top_k_groups,
     top_ties,
 )
 
@@ -31,7 +30,6 @@ __all__ = [
     "star_join",
     "tokenize_facets",
     "top_k",
-    "top_k_groups",
     "top_ties",
     "without_values",
 ]

@@ -1,9 +1,10 @@
 """Ranks, winners and top-k per group.
 
-A rank compared with a constant makes Spark keep only the best rows of each
-task before the shuffle (WindowGroupLimit), so a group with most of the rows
-sends a few rows per task. ``rank_large_groups`` serves full ranks of groups
-too large for one task.
+A group may hold most of all rows, so nothing here needs a whole group, or all
+rows tied for a place, in one task. Winners come from partial maxima and a join;
+full ranks from value ranges that are ranked apart; a row number compared with a
+constant keeps only the best rows of each task before the shuffle
+(WindowGroupLimit).
 """
 
 from __future__ import annotations
@@ -15,30 +16,49 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from facetrank.operators.gather import group_max
-from facetrank.session import checkpoint
+
+ROWS_PER_RANGE = 1_000_000
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> list[Column]:
+    """Null-safe equality of columns, pair by pair."""
+    return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
 
 
 def rank_within(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "ranking"
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    name: str = "ranking",
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """RANK per group: ties share a rank, gaps follow.
-
-    For groups known to be small, such as the genres of a country after
-    aggregation.
-    """
-    return df.withColumn(name, F.rank().over(W.partitionBy(*by).orderBy(*order)))
+    """RANK per group by ``value`` descending: ties share a rank, gaps follow, NULLs are last."""
+    ranked = _ranked(df, by, value, rows_per_range)
+    return ranked.select(*df.columns, F.col("_rank").cast("int").alias(name))
 
 
 def rerank_dense(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "ranking"
+    df: DataFrame,
+    by: Sequence[str],
+    rank: str,
+    name: str = "ranking",
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """DENSE_RANK per group: closes the gaps left by an earlier rank."""
-    return df.withColumn(name, F.dense_rank().over(W.partitionBy(*by).orderBy(*order)))
+    """DENSE_RANK per group by a number ascending: closes the gaps left by an earlier rank."""
+    ranked = _ranked(df.withColumn("_down", -F.col(rank)), by, "_down", rows_per_range)
+    return ranked.select(*df.columns, F.col("_dense").cast("int").alias(name))
 
 
-def top_ties(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """All rows tied for the first place of their group."""
-    return rank_within(df, by, order, "_rank").where(F.col("_rank") == 1).drop("_rank")
+def top_ties(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """All rows tied for the largest value of their group.
+
+    A group whose values are all NULL keeps all its rows, as a rank would. The
+    maxima are one row per group; rows are joined on group and value, so tied
+    rows can be split between tasks.
+    """
+    best = [f"_{c}" for c in [*by, value]]
+    maxima = group_max(df, by, value).toDF(*best)
+    return df.join(maxima, _same([*by, value], best), "left_semi")
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -47,17 +67,6 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) ->
     return df.withColumn("_row", row).where(F.col("_row") <= k).drop("_row")
 
 
-def top_k_groups(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int
-) -> DataFrame:
-    """All rows of the first k inner groups of each group.
-
-    ``order`` must tell inner groups apart: rows equal in it are one group.
-    """
-    place = F.dense_rank().over(W.partitionBy(*by).orderBy(*order))
-    return df.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
-
-
 def one_row_per_key(df: DataFrame, key: Sequence[str], prefer: Sequence[Column]) -> DataFrame:
     """The preferred row of each key, for tables that were appended to."""
     return top_k(df, key, prefer, 1)
@@ -74,61 +83,67 @@ def argmax_ties(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def rank_large_groups(
-    df: DataFrame, by: Sequence[str], value: str, splits: int = 64
+    df: DataFrame, by: Sequence[str], value: str, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """RANK and DENSE_RANK by ``value`` descending, without a task per group.
 
-    Rows shrink to one per distinct (group, value) with a count. Each group is
-    cut at approximate quantiles into up to ``splits`` + 1 value ranges; a range
-    is ranked by itself and shifted by the number of rows in higher ranges. The
-    result is exact for any cuts; the cuts only set the balance. The ranges are
-    checkpointed: they are read twice, and must be the same both times even if
-    a lost task is run again. NULLs rank last.
+    Rows shrink to one per distinct (group, value) with a count. Values whose hash
+    is a multiple of ``rows_per_range`` cut a group into ranges of about that many
+    values; a range is ranked by itself and shifted by the number of rows in
+    higher ranges. The cuts follow from the values alone, so a task that is run
+    again cuts in the same places. The result is exact for any cuts. NULLs rank
+    last. ``value`` is a number.
     """
+    names = {"_rank": "ranking", "_dense": "dense_ranking"}
+    return _ranked(df, by, value, rows_per_range).withColumnsRenamed(names)
+
+
+def _ranked(df: DataFrame, by: Sequence[str], value: str, rows_per_range: int) -> DataFrame:
     keys = [f"_{c}" for c in by]
     values = (
         df.groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(
-            *[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value).alias("_value"), "_rows"
+            *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)],
+            F.col(value).alias("_value"),
+            "_rows",
         )
     )
-    points = [i / (splits + 1) for i in range(1, splits + 1)]
-    cuts = values.groupBy(*[F.col(k).alias("_cut" + k) for k in keys]).agg(
-        F.percentile_approx("_value", points, 1000).alias("_cuts")
+    # -0.0 and 0.0 are one value and must have one hash.
+    chosen = F.pmod(F.xxhash64(F.col("_value") + F.lit(0)), F.lit(rows_per_range)) == 0
+    cut_keys = [f"_cut{k}" for k in keys]
+    cuts = (
+        values.where(F.col("_value").isNotNull() & chosen)
+        .groupBy(*[F.col(k).alias(c) for k, c in zip(keys, cut_keys, strict=True)])
+        .agg(F.collect_list("_value").alias("_cuts"))
     )
-    higher_cuts = F.size(F.filter("_cuts", lambda cut: cut > F.col("_value")))
-    last = F.lit(splits + 1)
-    placed = checkpoint(
-        values.join(cuts, [F.col(k).eqNullSafe(F.col("_cut" + k)) for k in keys]).select(
-            *keys,
-            "_value",
-            "_rows",
-            F.when(F.col("_value").isNull(), last).otherwise(higher_cuts).alias("_range"),
-        )
+    higher = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda cut: cut > F.col("_value")))
+    placed = values.join(cuts, _same(keys, cut_keys), "left").select(
+        *keys,
+        "_value",
+        "_rows",
+        F.when(F.col("_value").isNull(), F.lit(None).cast("int")).otherwise(higher).alias("_range"),
+    )
+    # A row per range.
+    before = (
+        W.partitionBy(*keys).orderBy(F.asc_nulls_last("_range")).rowsBetween(W.unboundedPreceding, -1)
     )
-    # At most splits + 2 rows per group.
-    before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    shift_keys = [f"_shift{k}" for k in [*keys, "_range"]]
     shifts = (
         placed.groupBy(*keys, "_range")
         .agg(F.sum("_rows").alias("_n"), F.count(F.lit(1)).alias("_distinct"))
         .select(
-            *[F.col(k).alias("_shift" + k) for k in [*keys, "_range"]],
+            *[F.col(k).alias(s) for k, s in zip([*keys, "_range"], shift_keys, strict=True)],
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_above"),
             F.coalesce(F.sum("_distinct").over(before), F.lit(0)).alias("_values_above"),
         )
     )
     inside = W.partitionBy(*keys, "_range").orderBy(F.desc("_value"))
     earlier = inside.rowsBetween(W.unboundedPreceding, -1)
-    ranks = placed.join(
-        shifts, [F.col(k).eqNullSafe(F.col("_shift" + k)) for k in [*keys, "_range"]]
-    ).select(
+    ranks = placed.join(shifts, _same([*keys, "_range"], shift_keys)).select(
         *keys,
         "_value",
-        (F.col("_rows_above") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1).alias(
-            "ranking"
-        ),
-        (F.col("_values_above") + F.row_number().over(inside)).alias("dense_ranking"),
+        (F.col("_rows_above") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1).alias("_rank"),
+        (F.col("_values_above") + F.row_number().over(inside)).alias("_dense"),
     )
-    pairs = zip([*by, value], [*keys, "_value"])
-    return df.join(ranks, [F.col(c).eqNullSafe(F.col(k)) for c, k in pairs]).drop(*keys, "_value")
+    return df.join(ranks, _same([*by, value], [*keys, "_value"])).drop(*keys, "_value")

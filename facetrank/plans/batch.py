@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from facetrank.operators import drop_missing, look_up
 from facetrank.plans.facts import facet_means
 from facetrank.plans.reports import (
     GROUP,
@@ -26,13 +23,10 @@ from facetrank.schemas import (
     TOP_GENRE,
     TitleTables,
 )
-from facetrank.sinks.tables import insert_overwrite, overwrite_table
+from facetrank.session import scratch_path
+from facetrank.sinks.tables import insert_overwrite
 from facetrank.sources.titles import load_titles, read_titles
 
-# Genres of one country that a single task may rank.
-MAX_RANKED_IN_A_TASK = 5_000_000
-
-
 class FacetBatch(NamedTuple):
     top_genre: DataFrame
     best_director: DataFrame
@@ -42,42 +36,21 @@ class FacetBatch(NamedTuple):
 def facet_report(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
     """Best directors of the first genres of each country, in one lazy plan.
 
-    (country, genre, ranking, weightedAveRating, best_directors). Each input is
-    read once: the genre's own row and its winning directors stay together from
-    the aggregation to the end.
+    (country, genre, ranking, weightedAveRating, best_directors). Genre and
+    director means come out of one aggregation over one star join; its shuffle is
+    reused by the parts of the plan that read it.
     """
     means = facet_means(tables, rules)
-    names = tables.names.select("nameId", "primaryName")
-    take = {"primaryName": "director_name"}
-    on = ("director", "nameId")
-    if rules.named_directors_only:
-        named = look_up(means, drop_missing(names, ["primaryName"]), on, take, how="left")
-        means = named.where(F.col("is_genre") | F.col("director_name").isNotNull())
-    rows = _winners_beside_genre(means)
-    if not rules.named_directors_only:
-        rows = look_up(rows, names, on, take)
+    genres = means.where("is_genre").select(*GROUP, F.col("mean").alias("weightedAveRating"))
+    directors = means.where(~F.col("is_genre")).select(
+        *GROUP, "director", F.col("mean").alias("weighted_rating")
+    )
+    won = winners(directors, tables.names, rules)
     return first_genres(
-        rows, F.desc("weightedAveRating"), rules.keep, ["weightedAveRating"]
+        genres, won, F.desc("weightedAveRating"), rules.keep, ["weightedAveRating"]
     ).select(*GROUP, "ranking", "weightedAveRating", "best_directors")
 
 
-def _winners_beside_genre(means: DataFrame) -> DataFrame:
-    """The best director rows of each genre, with the genre's own mean.
-
-    Within a genre its own row is ranked first and the winners, all ties, second;
-    so one rank limit keeps just these before the shuffle.
-    """
-    places = W.partitionBy(*GROUP).orderBy(F.desc("is_genre"), F.desc("mean"))
-    so_far = places.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        means.withColumns(
-            {"_rank": F.rank().over(places), "weightedAveRating": F.first("mean").over(so_far)}
-        )
-        .where((F.col("_rank") <= 2) & ~F.col("is_genre"))
-        .drop("_rank", "is_genre", "mean")
-    )
-
-
 def top_genres_with_directors(tables: TitleTables, rules: FacetRules = EXACT) -> DataFrame:
     """The report with means instead of ranks: (country, genre, weightedAveRating, topDirectors)."""
     return facet_report(tables, rules).select(
@@ -91,7 +64,7 @@ def facet_batch(
     """The three results. Pass stored ``means`` to compute the sums only once."""
     means = facet_means(tables, rules) if means is None else means
     genres = rank_genres(
-        means.where("is_genre").select(*GROUP, F.col("mean").alias("weightedAveRating")), rules
+        means.where("is_genre").select(*GROUP, F.col("mean").alias("weightedAveRating"))
     )
     directors = means.where(~F.col("is_genre")).select(
         *GROUP, "director", F.col("mean").alias("weighted_rating")
@@ -100,12 +73,6 @@ def facet_batch(
     return FacetBatch(genres, best, best_director_for_genres(genres, best, rules.keep))
 
 
-def _largest_country(means: DataFrame) -> int:
-    """Number of genres of the country with the most; one value from a stored table."""
-    sizes = means.where("is_genre").groupBy("country").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def store_rankings(
     tables: TitleTables,
     database: str | None = None,
@@ -114,17 +81,19 @@ def store_rankings(
 ) -> FacetBatch:
     """Compute the three results and replace their tables.
 
-    The means are a written table too, so the sums are computed once, a lost
-    executor costs one stage at most, and each step reads what the one before
-    has stored.
+    The means are written to the shared folder, so the sums are computed once, a
+    lost executor costs one stage at most, and each step reads what the one
+    before has stored.
     """
 
     def at(name: str) -> str | None:
         return f"{folder}/{name}" if folder else None
 
-    means = overwrite_table(facet_means(tables, rules), "facet_means", database, at("facet_means"))
-    if not rules.many_genres:
-        rules = replace(rules, many_genres=_largest_country(means) > MAX_RANKED_IN_A_TASK)
+    # Genre and director rows lie apart: each reader scans only its own.
+    lazy_means = facet_means(tables, rules)
+    path = scratch_path(lazy_means.sparkSession, "facet_means")
+    lazy_means.write.partitionBy("is_genre").parquet(path)
+    means = lazy_means.sparkSession.read.schema(lazy_means.schema).parquet(path)
     lazy = facet_batch(tables, means, rules)
     genres = insert_overwrite(lazy.top_genre, "top_genre", TOP_GENRE, database, at("top_genre"))
     directors = insert_overwrite(

@@ -49,7 +49,7 @@ def rated_titles(tables: TitleTables, rules: FacetRules) -> DataFrame:
     if rules.dedupe_countries:
         countries = one_row_per_key(countries, ["titleId"], [F.col("countries")])
     titles = join_titles(eligible_titles(tables.basics, rules), ratings, countries)
-    return weigh(titles, "rating", "numVotes", rules.rating_scale)
+    return weigh(titles, "rating", "numVotes")
 
 
 def credited_titles(tables: TitleTables, rules: FacetRules) -> DataFrame:
@@ -76,7 +76,7 @@ def genre_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
         explode_by_rules(titles, FACETS, rules)
         .groupBy("country", "genre")
         .agg(*sum_parts())
-        .select("country", "genre", mean_from_sums(rules.rating_scale).alias("weightedAveRating"))
+        .select("country", "genre", mean_from_sums().alias("weightedAveRating"))
     )
 
 
@@ -91,7 +91,7 @@ def director_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
             "country",
             "genre",
             "director",
-            mean_from_sums(rules.rating_scale, rules.director_digits).alias("weighted_rating"),
+            mean_from_sums(rules.director_digits).alias("weighted_rating"),
         )
     )
 
@@ -132,8 +132,8 @@ def facet_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
         .groupBy("country", "genre", "is_genre", "director")
         .agg(*sum_parts())
     )
-    exact = mean_from_sums(rules.rating_scale)
-    compared = mean_from_sums(rules.rating_scale, rules.director_digits)
+    exact = mean_from_sums()
+    compared = mean_from_sums(rules.director_digits)
     return sums.select(
         "country",
         "genre",

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from facetrank.operators import (
     collect_sorted,
     drop_missing,
     look_up,
-    rank_large_groups,
     rank_within,
-    rerank_dense,
-    top_k_groups,
+    top_k,
     top_ties,
 )
 from facetrank.plans.facts import director_means, genre_means
@@ -24,21 +23,12 @@ GROUP = ["country", "genre"]
 
 def top_genre(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
     """Every genre of every country with its weighted mean rating and rank."""
-    return rank_genres(genre_means(tables, rules), rules)
+    return rank_genres(genre_means(tables, rules))
 
 
-def rank_genres(means: DataFrame, rules: FacetRules) -> DataFrame:
-    """Rank (country, genre, weightedAveRating) rows within their country.
-
-    A task ranks the genres of a country, one row each; with ``many_genres`` a
-    country is ranked by several tasks.
-    """
-    if rules.many_genres:
-        ranked = rank_large_groups(means, ["country"], "weightedAveRating")
-        ranked = ranked.withColumn("ranking", F.col("ranking").cast("int"))
-    else:
-        ranked = rank_within(means, ["country"], [F.desc("weightedAveRating")])
-    return ranked.select(*GROUP, "weightedAveRating", "ranking")
+def rank_genres(means: DataFrame) -> DataFrame:
+    """Rank (country, genre, weightedAveRating) rows within their country."""
+    return rank_within(means, ["country"], "weightedAveRating")
 
 
 def best_director(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
@@ -49,16 +39,16 @@ def best_director(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
 def winners(means: DataFrame, names: DataFrame, rules: FacetRules) -> DataFrame:
     """The named winners among (country, genre, director, weighted_rating) rows.
 
-    Ranks are taken on ids; names come last, for the winners only, unless the
-    rules want unnamed directors out of the contest.
+    Ranks are taken on ids; names come last, for the winners only. Where the
+    rules want unnamed directors out of the contest, ids without a name are left
+    out before it.
     """
     on, take = ("director", "nameId"), {"primaryName": "director_name"}
-    best = [F.desc("weighted_rating")]
     if rules.named_directors_only:
-        named = look_up(means, drop_missing(names, ["primaryName"]), on, take)
-        won = top_ties(named, GROUP, best)
-    else:
-        won = look_up(top_ties(means, GROUP, best), names, on, take)
+        names = drop_missing(names, ["primaryName"])
+        ids = names.select(F.col("nameId").alias("director"))
+        means = means.join(ids, "director", "left_semi")
+    won = look_up(top_ties(means, GROUP, "weighted_rating"), names, on, take)
     return won.select(*GROUP, "director_name", "weighted_rating")
 
 
@@ -68,20 +58,25 @@ def best_director_for_genres(genres: DataFrame, directors: DataFrame, keep: int
     Takes the results (or stored tables) of :func:`top_genre` and
     :func:`best_director`. Genres without a director do not count.
     """
-    rows = genres.select(*GROUP, F.col("ranking").alias("_before")).join(
-        directors.select(*GROUP, "director_name"), GROUP
-    )
-    return first_genres(rows, F.col("_before"), keep, [])
+    rows = directors.select(*GROUP, "director_name")
+    before = genres.select(*GROUP, F.col("ranking").alias("_before"))
+    return first_genres(before, rows, F.col("_before"), keep, [])
 
 
-def first_genres(rows: DataFrame, order: Column, keep: int, carry: list[str]) -> DataFrame:
-    """From one row per (country, genre, winner) to one per kept genre.
+def first_genres(
+    genres: DataFrame, rows: DataFrame, order: Column, keep: int, carry: list[str]
+) -> DataFrame:
+    """From the winners of each genre (``rows``) to one row per kept genre.
 
-    The cut comes before the names are collected, and ties in it go by genre.
-    Ranks are dense; those of the kept genres do not depend on the others.
+    ``genres`` holds a row per (country, genre) with what ``order`` reads. Genres
+    with a winner are cut before names are joined and collected, so the windows
+    see genres, never winners; the second one sees ``keep`` of them per country.
+    Ties in the cut go by genre. Ranks are dense.
     """
-    kept = top_k_groups(rows, ["country"], [order, F.col("genre")], keep)
-    ranked = rerank_dense(kept, ["country"], [order])
+    won = rows.select(*GROUP).distinct()
+    kept = top_k(genres.join(won, GROUP), ["country"], [order, F.col("genre")], keep)
+    place = F.dense_rank().over(W.partitionBy("country").orderBy(order))
+    ranked = kept.select(*GROUP, place.alias("ranking"), *carry)
     return collect_sorted(
-        ranked, [*GROUP, "ranking", *carry], "director_name", "best_directors"
+        rows.join(ranked, GROUP), [*GROUP, "ranking", *carry], "director_name", "best_directors"
     )

@@ -24,10 +24,6 @@ class FacetRules:
     named_directors_only: bool = False
     # Empty items of the genre, country and director lists are dropped.
     drop_empty_items: bool = False
-    # Decimals of the ratings; see functions.means.
-    rating_scale: int = 1
-    # A country may have too many genres for one task to rank them all.
-    many_genres: bool = False
     # Countries may have been appended twice: keep one row per title.
     dedupe_countries: bool = False
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,8 +9,6 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 SCRATCH_DATABASE = "facetrank_scratch"
 
-_local_folders: dict[str, str] = {}
-
 
 def build_session(
     app: str = "facetrank", master: str | None = None, conf: dict[str, str] | None = None
@@ -40,18 +37,13 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only a local master, whose executor is this process, may fall back to a
-    folder of its own.
+    Where no checkpoint folder is set, the session's warehouse serves: tables
+    have to be shared as well.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="facetrank-")
-    return _local_folders[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/facetrank_scratch_files"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -71,12 +63,3 @@ def scratch_database(spark: SparkSession) -> str:
 def scratch_name(name: str) -> str:
     """A fresh table name."""
     return f"{name}_{uuid.uuid4().hex[:12]}"
-
-
-def checkpoint(df):
-    """Reliable checkpoint in the shared folder (never a local one)."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)

@@ -1,6 +1,6 @@
 """Tables and delimited text."""
 
-from facetrank.sinks.delimited import write_delimited
+from facetrank.sinks.delimited import is_writable, write_delimited
 from facetrank.sinks.tables import (
     append_rows,
     insert_overwrite,
@@ -12,6 +12,7 @@ from facetrank.sinks.tables import (
 __all__ = [
     "append_rows",
     "insert_overwrite",
+    "is_writable",
     "overwrite_table",
     "qualified",
     "replace_view",

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+BUCKET_BYTES = 256 << 20
+MAX_BUCKETS = 100_000
+
 
 def qualified(table: str, database: str | None = None) -> str:
     return f"`{database}`.`{table}`" if database else f"`{table}`"
@@ -17,6 +22,12 @@ def _use(spark: SparkSession, table: str, database: str | None) -> str:
     return qualified(table, database)
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Buckets of about ``BUCKET_BYTES`` for the rows of ``df``, by the size Spark expects."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(MAX_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
+
+
 def overwrite_table(
     df: DataFrame,
     table: str,
@@ -28,24 +39,36 @@ def overwrite_table(
 ) -> DataFrame:
     """Replace a parquet table with the rows of ``df`` and return it.
 
+    Rows are written to a table beside the old one, which takes its place when
+    they are complete; a failed run leaves the old rows. An existing table must
+    have the columns of ``df``, by name and type. With ``path`` each run writes
+    a folder of its own below it.
+
     With ``bucket_by`` rows are clustered first, so that a bucket is one sorted
     file; one too large for a task is split at run time into several files of
     the same bucket. ``clustered`` skips that for rows that come from files of
-    the same buckets. The number of buckets defaults to the session's shuffle
-    partitions, which is how the table would be shuffled otherwise.
+    the same buckets. The number of buckets follows the size of ``df``.
     """
     spark = df.sparkSession
     name = _use(spark, table, database)
+    if spark.catalog.tableExists(name):
+        old = {f.name: f.dataType for f in spark.table(name).schema}
+        if old != (new := {f.name: f.dataType for f in df.schema}):
+            raise ValueError(f"{name} has the columns {old}, not {new}")
     if bucket_by:
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = buckets or bucket_count(df)
         if not clustered:
             df = df.hint("rebalance", buckets, F.col(bucket_by))
-    writer = df.write.format("parquet").mode("overwrite")
+    run = uuid.uuid4().hex[:12]
+    fresh = qualified(f"{table}_{run}", database)
+    writer = df.write.format("parquet")
     if bucket_by:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        writer = writer.option("path", f"{path}/{run}")
+    writer.saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return spark.table(name)
 
 
@@ -65,7 +88,10 @@ def insert_overwrite(
     database: str | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """Create the result table if needed and replace its rows, by position."""
+    """Create the result table if needed and replace its rows, by position.
+
+    An existing table of another schema is an error.
+    """
     return overwrite_table(_by_position(df, schema), table, database, path)
 
 

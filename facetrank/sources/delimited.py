@@ -12,6 +12,7 @@ from facetrank.functions.cells import split_items
 from facetrank.schemas import FIELD_SEP, ITEM_SEP, MISSING
 
 _BAD_LINE = "_bad_line"
+_BLANK = r"^[\x00-\x20]*$"
 # Never found in text; keeps the reader from treating anything as NULL by itself.
 _NO_MARKER = "\u0000"
 
@@ -31,13 +32,31 @@ def read_delimited(
 
     Works on any path Spark can open, local, distributed or object store.
 
-    - The header line of each file is skipped; its names are not used.
+    - The header line of each file is skipped; its names are not used. It must
+      not be blank.
+    - Every line is a row, blank ones too.
     - The missing-value marker is NULL in every column.
     - A number that does not parse is NULL; so is a field absent from a short
       line. Extra fields are ignored.
     - An empty field is '' in a text column and an empty array in an array one.
-    - Quotes and backslashes are ordinary characters unless ``quoted``.
+    - Quotes and backslashes are ordinary characters unless ``quoted``; then a
+      field may hold separators, but not line breaks.
     """
+
+    def typed(text: Column, field: StructField) -> Column:
+        text = F.nullif(text, F.lit(missing))
+        if isinstance(field.dataType, ArrayType):
+            return split_items(text, item_sep, trim_items)
+        if isinstance(field.dataType, StringType):
+            return text
+        return text.try_cast(field.dataType)
+
+    lines = spark.read.option("lineSep", "\n").text(path)
+    fields = F.split("value", re.escape(sep))
+    by_line = [typed(F.get(fields, F.lit(i)), f).alias(f.name) for i, f in enumerate(schema)]
+    if not (header or quoted):
+        return lines.select(*by_line)
+    # The CSV reader knows headers and quotes, but drops blank lines.
     raw_schema = StructType(
         [StructField(f.name, StringType(), True) for f in schema]
         + [StructField(_BAD_LINE, StringType(), True)]
@@ -50,6 +69,8 @@ def read_delimited(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BAD_LINE)
         .option("nullValue", _NO_MARKER)
+        # Short lines are only found if all fields are looked for.
+        .option("columnPruning", False)
     )
     reader = (
         reader.option("quote", '"').option("escape", '"')
@@ -57,18 +78,14 @@ def read_delimited(
         else reader.option("quote", "").option("escape", "")
     )
     # The reader gives NULL for an empty field; only a short line lacks fields.
-    n_fields = F.size(F.split(F.col(_BAD_LINE), re.escape(sep)))
+    outside = F.regexp_replace(_BAD_LINE, '"([^"]|"")*"', "") if quoted else F.col(_BAD_LINE)
+    n_fields = F.size(F.split(outside, re.escape(sep)))
 
-    def typed(position: int, field: StructField) -> Column:
+    def present(position: int, field: StructField) -> Column:
         absent = F.col(_BAD_LINE).isNotNull() & (n_fields <= position)
-        text = F.when(~absent, F.coalesce(F.col(field.name), F.lit("")))
-        text = F.nullif(text, F.lit(missing))
-        if isinstance(field.dataType, ArrayType):
-            return split_items(text, item_sep, trim_items)
-        if isinstance(field.dataType, StringType):
-            return text
-        return text.try_cast(field.dataType)
+        return typed(F.when(~absent, F.coalesce(F.col(field.name), F.lit(""))), field)
 
-    return reader.csv(path).select(
-        *[typed(i, field).alias(field.name) for i, field in enumerate(schema)]
+    filled = reader.csv(path).select(
+        *[present(i, field).alias(field.name) for i, field in enumerate(schema)]
     )
+    return filled.unionByName(lines.where(F.col("value").rlike(_BLANK)).select(*by_line))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,30 +15,42 @@ from facetrank.functions.cells import (
 COUNTRY_FIELD = "Country"
 
 
-class Enriched(NamedTuple):
-    countries: DataFrame  # titleId, country text, countries array
-    rejects: DataFrame  # titleId, body that is not a JSON object
-
-
 def countries_from_responses(
     responses: DataFrame,
     key: str = "titleId",
     body: str = "body",
     field: str = COUNTRY_FIELD,
     trim: bool = False,
-) -> Enriched:
-    """Title-to-country rows from (key, JSON body) rows; no shuffle.
+) -> DataFrame:
+    """(titleId, countryText, country, rejected, body) rows from (key, JSON body) rows.
 
-    A missing, null, empty or N/A field gives a row with a NULL country. A body
-    that is not a JSON object goes to the rejects, so every response is in
-    exactly one of the two.
+    One row per response, from one scan and no shuffle. A missing, null, empty or
+    N/A field gives a NULL country. A body that is not a JSON object is
+    ``rejected``, keeps its key and body as they are and has no country; other
+    rows have no body.
     """
-    is_object = F.json_object_keys(body).isNotNull()
-    text = missing_words_to_null(strip_quotes(json_field(body, field)))
-    good = (
-        responses.where(is_object)
-        .select(strip_quotes(F.col(key).cast("string")).alias("titleId"), text.alias("countryText"))
+    own, text = F.col(key).cast("string"), F.col(body)
+    # A NULL body is rejected as well.
+    is_object = F.coalesce(F.json_object_keys(body).isNotNull(), F.lit(False))
+    found = missing_words_to_null(strip_quotes(json_field(body, field)))
+    return (
+        responses.select(
+            F.when(is_object, strip_quotes(own)).otherwise(own).alias("titleId"),
+            F.when(is_object, found).alias("countryText"),
+            (~is_object).alias("rejected"),
+            F.when(~is_object, text).alias("body"),
+        )
         .withColumn("country", split_items("countryText", trim=trim))
+        .select("titleId", "countryText", "country", "rejected", "body")
     )
-    bad = responses.where(~is_object).select(F.col(key).cast("string").alias("titleId"), body)
-    return Enriched(good, bad)
+
+
+def country_values(countries: DataFrame, exploded: bool = False, trim: bool = False) -> DataFrame:
+    """Distinct country texts, or with ``exploded`` the single countries in them.
+
+    ``countries`` has a column ``countryText``; NULL texts hold no country.
+    """
+    texts = countries.select("countryText").where("countryText is not null").distinct()
+    if not exploded:
+        return texts.withColumnRenamed("countryText", "country")
+    return texts.select(F.explode(split_items("countryText", trim=trim)).alias("country")).distinct()

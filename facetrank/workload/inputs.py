@@ -1,22 +1,29 @@
 """The five title inputs, derived from the order tables.
 
 Orders are titles, part types genres, supplier nations countries and suppliers
-directors. They are derived in one pass over the lines and stored once per
-application in the shared folder; every query then reads the stored tables.
+directors. Some titles have no crew, some directors no name row and some a NULL
+name, so that the variants of the reports differ. They are derived in one pass
+over the lines and stored once per application in the shared folder; every query
+then reads the stored tables.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetrank.schemas import TitleTables
-from facetrank.session import scratch_database, scratch_name
-from facetrank.sinks.tables import overwrite_table
+from facetrank.session import scratch_database
+from facetrank.sinks.tables import overwrite_table, qualified
 
 ROWS_PER_BUCKET = 16_000_000
 MIN_BUCKETS = 8
 
+# Which keys lack something.
+NO_CREW, NO_NAME_ROW, NULL_NAME = 11, 7, 13
+
 _stored: dict[tuple[str, str], TitleTables] = {}
 
 
@@ -68,16 +75,22 @@ def derive(spark: SparkSession, sf_dir: str, facts: DataFrame) -> TitleTables:
         F.lit(None).cast("int").alias("endYear"),
         F.lit(None).cast("int").alias("runtimeMinutes"),
     )
+    uncredited = F.pmod(F.col("titleId").cast("bigint"), F.lit(NO_CREW)) == 0
+    key = F.col("s_suppkey")
     # Mean discount in percent, rounded half up to one decimal in integers.
     tenths = F.expr("(20 * points + lines) div (2 * lines)")
     no_names = F.lit(None).cast("array<string>")
     return TitleTables(
         basics=orders.join(facts.select("titleId", "genres"), "titleId", "left"),
         ratings=facts.select("titleId", (tenths / F.lit(10.0)).alias("rating"), "numVotes"),
-        crew=facts.select("titleId", "directors", "writers"),
-        names=source(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").cast("string").alias("nameId"),
-            F.col("s_name").alias("primaryName"),
+        crew=facts.select(
+            "titleId", F.when(~uncredited, F.col("directors")).alias("directors"), "writers"
+        ),
+        names=source(spark, sf_dir, "supplier")
+        .where(key % NO_NAME_ROW != 0)
+        .select(
+            key.cast("string").alias("nameId"),
+            F.when(key % NULL_NAME != 0, F.col("s_name")).alias("primaryName"),
             F.lit(None).cast("int").alias("birthYear"),
             F.lit(None).cast("int").alias("deathYear"),
             no_names.alias("primaryProfession"),
@@ -94,14 +107,18 @@ def bucket_count(spark: SparkSession, sf_dir: str) -> int:
 
 
 def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
-    """Derive and store the inputs, bucketed by their join keys."""
+    """Derive and store the inputs, bucketed by their join keys.
+
+    The tables are replaced, so runs do not pile up; each data folder has its own.
+    """
     database = scratch_database(spark)
     buckets = bucket_count(spark, sf_dir)
+    mark = zlib.crc32(f"{spark.sparkContext.applicationId} {sf_dir}".encode())
 
     def store(name: str, df: DataFrame, key: str, clustered: bool) -> DataFrame:
         return overwrite_table(
             df,
-            scratch_name(name),
+            f"{name}_{mark:08x}",
             database,
             bucket_by=key,
             buckets=buckets,
@@ -110,13 +127,16 @@ def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
 
     facts = store("facts", line_facts(spark, sf_dir), "titleId", False)
     derived = derive(spark, sf_dir, facts)
-    return TitleTables(
+    stored = TitleTables(
         basics=store("basics", derived.basics, "titleId", False),
         ratings=store("ratings", derived.ratings, "titleId", True),
         crew=store("crew", derived.crew, "titleId", True),
         names=store("names", derived.names, "nameId", False),
         countries=store("countries", derived.countries, "titleId", True),
     )
+    # Its columns are in the other tables now.
+    spark.sql(f"DROP TABLE {qualified(f'facts_{mark:08x}', database)}")
+    return stored
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> TitleTables:

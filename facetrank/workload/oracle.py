@@ -32,8 +32,16 @@ ratings as (
   from line_facts
 ),
 countries as (select "titleId", country from line_facts where len(country) > 0),
-crew as (select "titleId", directors, writers from line_facts),
-names as (select cast(s_suppkey as varchar) as "nameId", s_name as "primaryName" from supplier)
+crew as (
+  select "titleId", case when cast("titleId" as bigint) % 11 <> 0 then directors end as directors,
+         writers
+  from line_facts
+),
+names as (
+  select cast(s_suppkey as varchar) as "nameId",
+         case when s_suppkey % 13 <> 0 then s_name end as "primaryName"
+  from supplier where s_suppkey % 7 <> 0
+)
 """
 
 # Eligible titles and their exploded facets; ratings in whole tenths.
@@ -49,7 +57,7 @@ votes as (
   from ratings
 ),
 genre_rows as (
-  select place as country, genre, w, tenths
+  select "titleId", place as country, genre, w, tenths
   from (select "titleId", unnest(genres) as genre from eligible)
   join (select "titleId", unnest(country) as place from countries) using ("titleId")
   join votes using ("titleId")
@@ -61,16 +69,21 @@ director_rows as (
   join (select "titleId", unnest(directors) as director from crew) using ("titleId")
   join votes using ("titleId")
 ),
-genre_means_all as (
+genre_means as (
   select country, genre, cast(sum(tenths) as double) / 10 / nullif(cast(sum(w) as double), 0) as m
-  from genre_rows group by country, genre
+  from genre_rows where genre <> 'PROMO' group by country, genre
 ),
 director_means_all as (
   select country, genre, director,
          cast(sum(tenths) as double) / 10 / nullif(cast(sum(w) as double), 0) as m
   from director_rows group by country, genre, director
 ),
-genre_means as (select * from genre_means_all where genre <> 'PROMO'),
+-- Titles with directors only, all genres.
+genre_means_all as (
+  select country, genre, cast(sum(tenths) as double) / 10 / nullif(cast(sum(w) as double), 0) as m
+  from genre_rows join (select "titleId" from crew where directors is not null) using ("titleId")
+  group by country, genre
+),
 director_means as (select * from director_means_all where genre <> 'PROMO')
 """
 )
@@ -98,7 +111,9 @@ final_ranks as (
          row_number() over (partition by country order by place, genre) as nth
   from genre_ranks
   join (select country, genre,
-               array_to_string(list_sort(list(director_name)), '|') as directors_text
+               coalesce(array_to_string(list_sort(list(director_name)
+                                              filter (where director_name is not null)), '|'), '')
+                 as directors_text
         from winners group by country, genre) as lists using (country, genre)
 )
 """
@@ -191,6 +206,24 @@ SQL: dict[str, str] = {
                     then cast(year(o_orderdate) as integer) end as "startYear"
         from orders
     """,
+    "scan_quoted": """
+        select s_suppkey, s_name as name, 'a	"b"' as marked,
+               case when s_suppkey % 3 <> 0 then 'last' end as last
+        from supplier
+    """,
+    "scan_blank_lines": """
+        select case when s_suppkey % 5 in (1, 2) then '' when s_suppkey % 5 = 3 then ' '
+                    else s_name end as name,
+               case when s_suppkey % 5 = 2 then '' when s_suppkey % 5 in (0, 4)
+                    then cast(s_nationkey as varchar) end as nation
+        from supplier
+    """,
+    "scan_header_override": _with(
+        INPUTS, """select "titleId", array_to_string(country, '|') as country_text from countries"""
+    ),
+    "scan_trimmed_items": _with(
+        INPUTS, """select "titleId", array_to_string(country, '|') as country_text from countries"""
+    ),
     "null_marker": """
         select c_custkey, c_mktsegment as segment from customer where not c_acctbal < 0
     """,
@@ -212,6 +245,18 @@ SQL: dict[str, str] = {
         INPUTS,
         """select "titleId", array_to_string(country, '|') as country_text from countries""",
     ),
+    "store_rejects": _with(
+        BODIES,
+        """
+        select "titleId", 'error ' || props || chr(9) || 'x' || chr(10) || '"y"' as body
+        from bodies join events on cast(event_id as varchar) = "titleId"
+        where bodies.event_type = 'error'
+        """,
+    ),
+    "replace_view": """
+        select cast(o_orderkey as varchar) as "titleId", o_orderstatus as "titleType"
+        from orders where o_orderstatus = 'F'
+    """,
     # Projections and filters
     "project_rename": """
         select cast(o_orderkey as varchar) as title_id, o_orderstatus as kind,
@@ -262,11 +307,14 @@ SQL: dict[str, str] = {
           and b."titleId" = w."titleId"
         """,
     ),
-    "dim_lookup": """
-        select distinct cast(l_orderkey as varchar) as "titleId",
-               cast(l_suppkey as varchar) as director, s_name as director_name
-        from lineitem join supplier on s_suppkey = l_suppkey
-    """,
+    "dim_lookup": _with(
+        INPUTS,
+        """
+        select "titleId", director, "primaryName" as director_name
+        from (select "titleId", unnest(directors) as director from crew)
+        join names on "nameId" = director
+        """,
+    ),
     "join_two_keys": _with(
         FACETS,
         """
@@ -303,7 +351,7 @@ SQL: dict[str, str] = {
         FACETS,
         """
         select "titleId", genre, place as country, director
-        from (select "titleId", unnest(genres) as genre from eligible)
+        from (select "titleId", unnest(genres) as genre from basics)
         join (select "titleId", unnest(country) as place from countries) using ("titleId")
         join (select "titleId", unnest(directors) as director from crew) using ("titleId")
         """,
@@ -338,13 +386,18 @@ SQL: dict[str, str] = {
         STAGED,
         """
         select country, genre,
-               array_to_string(list_sort(list(director_name)), '|') as directors_text
+               coalesce(array_to_string(list_sort(list(director_name)
+                                          filter (where director_name is not null)), '|'), '')
+                 as directors_text
         from winners group by country, genre
         """,
     ),
     "distinct_values": _with(
         INPUTS, "select distinct array_to_string(country, ', ') as country_text from countries"
     ),
+    "country_values": _with(
+        INPUTS, "select distinct unnest(country) as country from countries"
+    ),
     # Ranking
     "rank_within": _with(
         STAGED, "select country, genre, m as mean_rating, place as ranking from genre_ranks"
@@ -398,6 +451,9 @@ SQL: dict[str, str] = {
         order by country, mean_rating desc, genre
         """,
     ),
+    "sort_two_keys": _with(
+        STAGED, "select country, genre, place as ranking from genre_ranks order by country, genre"
+    ),
     # Landed responses
     "strip_quotes": "select event_id, replace(props, '\"', '') as bare_props from events",
     "split_field": 'select cast(o_orderkey as varchar) as "titleId" from orders',
@@ -416,7 +472,6 @@ SQL: dict[str, str] = {
     ),
     # Reports
     "top_genre": RANKS,
-    "top_genre_many": RANKS,
     "top_genre_credited": _with(
         FACETS,
         """

@@ -17,7 +17,7 @@ from facetrank.functions import (
     strip_quotes,
     weighted_mean,
 )
-from facetrank.functions.means import GRID, REST, WEIGHT, sum_parts, weigh
+from facetrank.functions.means import WEIGHT, sum_parts, total_from_sums, weigh
 from facetrank.operators import (
     argmax_ties,
     collect_sorted,
@@ -46,8 +46,14 @@ from facetrank.schemas import (
     TitleTables,
 )
 from facetrank.session import scratch_database, scratch_name, scratch_path
-from facetrank.sinks import append_rows, insert_overwrite, overwrite_table, write_delimited
-from facetrank.sources import countries_from_responses, read_delimited
+from facetrank.sinks import (
+    append_rows,
+    insert_overwrite,
+    overwrite_table,
+    replace_view,
+    write_delimited,
+)
+from facetrank.sources import countries_from_responses, country_values, read_delimited, read_titles
 from facetrank.workload.inputs import bucket_count, inputs, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,6 +186,62 @@ def scan_lenient_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, schema, header=False)
 
 
+@query("scan_quoted")
+def scan_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted fields that hold the separator and quotes; short lines."""
+    last = F.when(F.col("s_suppkey") % 3 != 0, F.lit("\t\"last\"")).otherwise(F.lit(""))
+    line = F.concat(
+        F.col("s_suppkey").cast("string"),
+        F.lit('\t"'),
+        F.col("s_name"),
+        F.lit('"\t"a\t""b"""'),
+        last,
+    )
+    path = scratch_path(spark, "quoted")
+    source(spark, sf_dir, "supplier").select(line.alias("line")).write.text(path)
+    key = source(spark, sf_dir, "supplier").schema["s_suppkey"].dataType
+    schema = StructType(
+        [StructField("s_suppkey", key)]
+        + [StructField(name, StringType()) for name in ("name", "marked", "last")]
+    )
+    return read_delimited(spark, path, schema, header=False, quoted=True)
+
+
+@query("scan_blank_lines")
+def scan_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Empty lines and lines of separators or blanks are rows."""
+    kind = F.col("s_suppkey") % 5
+    line = (
+        F.when(kind == 1, "")
+        .when(kind == 2, "\t")
+        .when(kind == 3, " ")
+        .otherwise(F.concat_ws("\t", "s_name", F.col("s_nationkey").cast("string")))
+    )
+    path = scratch_path(spark, "blank")
+    source(spark, sf_dir, "supplier").select(line.alias("line")).write.text(path)
+    schema = StructType([StructField(name, StringType()) for name in ("name", "nation")])
+    return read_delimited(spark, path, schema, header=False)
+
+
+@query("scan_header_override")
+def scan_header_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A country file that has a header, against its usual form."""
+    paths = dict.fromkeys(INPUTS, scratch_path(spark, "with_header"))
+    write_delimited(inputs(spark, sf_dir).countries, paths["countries"], header=True)
+    tables = read_titles(spark, paths, {"countries": True})
+    return tables.countries.select("titleId", joined_text("country", "country_text"))
+
+
+@query("scan_trimmed_items")
+def scan_trimmed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "spaced")
+    spaced = F.concat(F.lit(" "), F.array_join("country", " ,  "), F.lit(" "))
+    write_delimited(inputs(spark, sf_dir).countries.select("titleId", spaced.alias("c")), path)
+    return read_delimited(spark, path, COUNTRIES, header=False, trim_items=True).select(
+        "titleId", joined_text("country", "country_text")
+    )
+
+
 @query("null_marker")
 def null_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.when(F.col("c_acctbal") < 0, "\\N").otherwise(F.col("c_mktsegment"))
@@ -190,12 +252,12 @@ def null_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("load_overwrite")
 def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second load replaces the first."""
+    """A second load replaces the rows of the first."""
     crew = inputs(spark, sf_dir).crew
     database, table = scratch_database(spark), scratch_name("crew")
-    buckets = bucket_count(spark, sf_dir)
-    for _ in range(2):
-        stored = overwrite_table(crew, table, database, bucket_by="titleId", buckets=buckets)
+    stale = crew.select(F.concat(F.lit("old"), "titleId").alias("titleId"), "directors", "writers")
+    for rows in (stale, crew):
+        stored = overwrite_table(rows, table, database, bucket_by="titleId")
     return stored.select("titleId", joined_text("directors", "directors_text"))
 
 
@@ -203,9 +265,34 @@ def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_overwrite_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     winners = plans.best_director(inputs(spark, sf_dir), STAGED)
     by_other_name = winners.withColumnRenamed("weighted_rating", "rating")
-    return insert_overwrite(
-        by_other_name, scratch_name("best_director"), BEST_DIRECTOR, scratch_database(spark)
+    stale = by_other_name.withColumn("director_name", F.lit("old"))
+    database, table = scratch_database(spark), scratch_name("best_director")
+    for rows in (stale, by_other_name):
+        stored = insert_overwrite(rows, table, BEST_DIRECTOR, database)
+    return stored
+
+
+@query("store_rejects")
+def store_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies with tabs, line breaks and quotes, through a file and back."""
+    torn = F.concat("body", F.lit('\tx\n"y"'))
+    rows = countries_from_responses(
+        responses(spark, sf_dir).withColumn(
+            "body", F.when(F.col("body").startswith("error"), torn).otherwise(F.col("body"))
+        )
     )
+    path = scratch_path(spark, "rejects")
+    rows.where("rejected").select("titleId", "body").write.json(path)
+    return spark.read.schema("titleId string, body string").json(path)
+
+
+@query("replace_view")
+def replace_view_of_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second view of the same name replaces the first."""
+    titles = inputs(spark, sf_dir).basics.select("titleId", "titleType")
+    name = scratch_name("titles")
+    replace_view(titles, name)
+    return replace_view(titles.where(F.col("titleType") == "F"), name)
 
 
 @query("store_tsv_array")
@@ -346,7 +433,7 @@ def explode_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 def explode_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = inputs(spark, sf_dir)
     titles = star_join(
-        eligible_titles(t.basics, STAGED),
+        t.basics.select("titleId", "genres"),
         t.countries,
         t.crew.select("titleId", "directors"),
         key="titleId",
@@ -376,7 +463,7 @@ def sum_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select(
         "country",
         F.col(WEIGHT).alias("votes"),
-        (F.col(GRID) / F.lit(10.0) + F.col(REST)).alias("rating_votes"),
+        total_from_sums().alias("rating_votes"),
     )
 
 
@@ -414,12 +501,19 @@ def distinct_values_of_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_values(text, "country_text")
 
 
+@query("country_values")
+def country_values_of_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The single countries out of the list texts."""
+    text = inputs(spark, sf_dir).countries.select(joined_text("country", "countryText", ", "))
+    return country_values(text, exploded=True, trim=True)
+
+
 # Ranking
 
 
 @query("rank_within")
 def rank_within_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rank_within(genre_means(inputs(spark, sf_dir)), ["country"], [F.desc("mean_rating")])
+    return rank_within(genre_means(inputs(spark, sf_dir)), ["country"], "mean_rating")
 
 
 @query("rank_within_large")
@@ -433,7 +527,7 @@ def rank_within_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("top_ties")
 def top_ties_of_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = director_means(inputs(spark, sf_dir), digits=1)
-    return top_ties(means, GROUP, [F.desc("mean_rating")])
+    return top_ties(means, GROUP, "mean_rating")
 
 
 @query("rerank_dense")
@@ -441,13 +535,13 @@ def rerank_dense_of_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = genre_means(inputs(spark, sf_dir)).withColumn(
         "mean_rating", F.round("mean_rating", 0)
     )
-    ranked = rank_within(means, ["country"], [F.desc("mean_rating")], "first_rank")
-    return rerank_dense(ranked, ["country"], [F.col("first_rank")]).drop("mean_rating")
+    ranked = rank_within(means, ["country"], "mean_rating", "first_rank")
+    return rerank_dense(ranked, ["country"], "first_rank").drop("mean_rating")
 
 
 @query("top_k_rows")
 def top_k_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = rank_within(genre_means(inputs(spark, sf_dir)), ["country"], [F.desc("mean_rating")])
+    ranked = rank_within(genre_means(inputs(spark, sf_dir)), ["country"], "mean_rating")
     kept = top_k(ranked, ["country"], [F.col("ranking"), F.col("genre")], 3)
     return kept.select("country", "genre", "ranking")
 
@@ -464,6 +558,12 @@ def sort_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.orderBy("country", F.desc("mean_rating"), "genre")
 
 
+@query("sort_two_keys")
+def sort_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = plans.top_genre(inputs(spark, sf_dir), STAGED)
+    return ranked.select("country", "genre", "ranking").orderBy("country", "genre")
+
+
 # Landed responses
 
 
@@ -514,15 +614,12 @@ def json_field_of_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("country_enrichment")
 def country_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = countries_from_responses(responses(spark, sf_dir))
-    return good.select(
+    return countries_from_responses(responses(spark, sf_dir)).select(
         "titleId",
         "countryText",
         F.size("country").alias("n_countries"),
         F.element_at("country", -1).alias("last_country"),
-        F.lit(False).alias("rejected"),
-    ).unionByName(
-        bad.select("titleId", F.lit(True).alias("rejected")), allowMissingColumns=True
+        "rejected",
     )
 
 
@@ -534,12 +631,6 @@ def top_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.top_genre(inputs(spark, sf_dir), STAGED)
 
 
-@query("top_genre_many")
-def top_genre_many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same ranks when no task may hold all genres of a country."""
-    return plans.top_genre(inputs(spark, sf_dir), replace(STAGED, many_genres=True))
-
-
 @query("top_genre_credited")
 def top_genre_credited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only titles with directors count; tokens of all genres."""

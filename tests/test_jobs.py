@@ -32,8 +32,9 @@ def test_countries(spark, tmp_path):
     bodies = {
         "t1": '{"Country":"USA, China"}',
         "t2": '{"Country":"N/A"}',
-        "t3": "oops",
+        "t3": "<p>oops\tt\nx</p>",
         "t4": '{"Country":"USA, China"}',
+        "t5": '{"Country":"A\\tB\\nC"}',
     }
     source = tmp_path / "responses.jsonl"
     source.write_text(
@@ -47,6 +48,37 @@ def test_countries(spark, tmp_path):
         return sorted(r["value"] for r in spark.read.text(f"{out}/{name}").collect())
 
     once = ["t1\tUSA, China", "t2\t\\N", "t4\tUSA, China"]
-    assert lines("title.country") == sorted(once * 2)
-    assert lines("values") == ["USA, China", "\\N"]
-    assert lines("rejects") == ["t3\toops"] * 2
+    assert lines("title.country.tsv") == sorted(once * 2)
+    assert lines("values") == ["USA, China"]
+    rejects = [json.loads(x) for x in lines("rejects")]
+    assert sorted(((r["titleId"], r.get("body"), r.get("countryText")) for r in rejects), key=repr) == sorted(
+        [("t3", "<p>oops\tt\nx</p>", None), ("t5", None, "A\tB\nC")] * 2, key=repr
+    )
+    main(["countries", "--responses", str(source), "--output", out, "--exploded"])
+    assert lines("values") == [" China", "USA"]
+
+
+def test_countries_run_twice_do_not_change_the_means(spark, tmp_path):
+    """From landed responses to the ranks; every title is fetched and appended twice."""
+    tables = micro.micro_tables(spark)
+    for name, file in FILES.items():
+        if name != "countries":
+            write_delimited(getattr(tables, name), str(tmp_path / file), header=INPUTS[name].header)
+    held = {}
+    for r in tables.countries.collect():
+        held.setdefault(r["titleId"], r["country"])
+    source = tmp_path / "responses.jsonl"
+    source.write_text(
+        "".join(
+            json.dumps({"titleId": k, "body": json.dumps({"Country": ",".join(v)} if v else {})}) + "\n"
+            for k, v in held.items()
+        )
+    )
+    results = []
+    for _ in range(2):
+        main(["countries", "--responses", str(source), "--output", str(tmp_path)])
+        main(["load", "--input", str(tmp_path), "--database", "twice"])
+        main(["rank", "--database", "twice"])
+        results.append(rows(spark.table("twice.top_genre")))
+    spark.sql("DROP DATABASE twice CASCADE")
+    assert results[0] and results[0] == results[1]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DoubleType,
@@ -13,7 +15,7 @@ from pyspark.sql.types import (
 
 from facetrank.functions import split_items
 from facetrank.schemas import COUNTRIES, INPUTS, MISSING
-from facetrank.sinks import write_delimited
+from facetrank.sinks import is_writable, overwrite_table, write_delimited
 from facetrank.sources import load_titles, open_titles, read_delimited, read_titles
 from tests import micro
 from tests.conftest import rows
@@ -76,6 +78,43 @@ def test_quoted_mode(spark, tmp_path):
     assert got == [("a1", 'tab\there "x"', 2001, 1.5, ("A",))]
 
 
+def test_short_quoted_rows_lack_fields(spark, tmp_path):
+    path = tmp_path / "quoted.tsv"
+    path.write_text('a1\t"two\t""tabs\t\t\t"\na2\t"x"\t\n')
+    got = rows(read_delimited(spark, str(path), SCHEMA, header=False, quoted=True), "id", "title", "tags")
+    assert got == [("a1", 'two\t"tabs\t\t\t', None), ("a2", "x", None)]
+
+
+@pytest.mark.parametrize("header", [False, True])
+@pytest.mark.parametrize("quoted", [False, True])
+def test_blank_lines_are_rows(spark, tmp_path, header, quoted):
+    path = tmp_path / "blank.tsv"
+    path.write_text("id\tcountry\n" * header + "t1\tPeru\n\n\t\n \nt2\tChad\n\n")
+    got = rows(read_delimited(spark, str(path), COUNTRIES, header=header, quoted=quoted))
+    assert got == [(" ", None), ("", ()), ("", None), ("", None), ("t1", ("Peru",)), ("t2", ("Chad",))]
+
+
+@pytest.mark.parametrize("value", [("a\tb", []), ("a\nb", []), ("a\rb", []), ("a", ["x,y"]), ("a", ["x\ty"])])
+def test_values_that_would_tear_a_row_are_errors(spark, tmp_path, value):
+    df = spark.createDataFrame([value, ("fine", ["x", None])], "id string, tags array<string>")
+    assert df.where(is_writable(df)).count() == 1
+    with pytest.raises(Exception, match="separator or a line break"):
+        write_delimited(df, str(tmp_path / "torn"))
+
+
+def test_a_failed_or_wrong_rewrite_keeps_the_old_rows(spark):
+    old = spark.range(3)
+    overwrite_table(old, "kept_rows")
+    failing = spark.range(3).select(F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("no")).cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(failing, "kept_rows")
+    assert rows(spark.table("kept_rows")) == [(0,), (1,), (2,)]
+    with pytest.raises(ValueError, match="columns"):
+        overwrite_table(spark.range(1).withColumnRenamed("id", "other"), "kept_rows")
+    assert rows(overwrite_table(spark.range(1), "kept_rows")) == [(0,)]
+    spark.sql("DROP TABLE kept_rows")
+
+
 def test_trimmed_items(spark, tmp_path):
     path = tmp_path / "c.tsv"
     path.write_text("t1\t A, B \n")

@@ -21,30 +21,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetrank.llm.common import in_arrow, shuffle_partitions, stored
+from facetrank.llm.words import bytes_of, hashes_between, parts_of, spread, word_hashes
 
 CHUNK_WORDS = 8
-_CACHED_WORDS = 500_000
-_DOCS_AT_ONCE = 500
+_PART_BYTES = 4 << 20
 _LAST = (1 << 63) - 1  # stands for a null doc_id when lines are ordered
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_words = _WordHashes()
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -58,85 +46,101 @@ def _power(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Hashed:
-    """Prefix sums of a line's words, from which any part can be left out."""
-
-    def __init__(self, words: list[bytes]):
-        n = len(words)
-        self.n = n
-        self.words = np.fromiter(map(_words.__getitem__, words), np.uint64, n)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.words * _power(_BASE, n), out=self.prefix[1:])
-
-    def without(self, first: np.ndarray, after: np.ndarray) -> np.ndarray:
-        """Keys of the line without words first..after-1."""
-        gone = after - first
-        rest = self.prefix[first] + (self.prefix[-1] - self.prefix[after]) * _power(
-            _INVERSE, self.n + 1
-        )[gone]
-        return _mixed(rest ^ _mixed((self.n - gone).astype(np.uint64)))
-
-    def whole(self) -> int:
-        return int(self.without(np.array([0]), np.array([0]))[0])
-
-    def chunk_keys(self) -> np.ndarray | None:
-        """The whole line and it without one chunk or two; None if that leaves nothing."""
-        cut = np.flatnonzero((self.words >> np.uint64(7)) % np.uint64(CHUNK_WORDS) == 0) + 1
-        edges = np.unique(np.concatenate([[0], cut, [self.n]]))
-        if len(edges) <= 3:
-            return None
-        first = np.concatenate([[0], edges[:-1], edges[:-2]])
-        after = np.concatenate([[0], edges[1:], edges[2:]])
-        return np.unique(self.without(first, after))
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def _lines_of(text: bytes):
-    """``(line number, line, words)`` of the lines with words."""
-    for number, line in enumerate(text.split(b"\n")):
-        if words := line.split():
-            yield number, line, words
-
-
-_PLACES = "doc_id bigint, text_hash bigint, line bigint, places array<int>, keys array<bigint>, short boolean"
+    """Prefix sums of the words of many lines, from which any part can be left out."""
+
+    def __init__(self, words: np.ndarray, n: np.ndarray):
+        self.words, self.n = words, n
+        self.start = np.cumsum(n) - n
+        self.place = np.arange(len(words)) - np.repeat(self.start, n)
+        longest = int(n.max()) if len(n) else 0
+        self.sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * _power(_BASE, longest)[self.place], out=self.sums[1:])
+        self.inverse = _power(_INVERSE, longest + 1)
+
+    def without(self, line: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Keys of lines without their words first..after-1."""
+        at, gone = self.start[line], after - first
+        head = self.sums[at + first] - self.sums[at]
+        tail = self.sums[at + self.n[line]] - self.sums[at + after]
+        rest = head + tail * self.inverse[gone]
+        return spread(rest ^ spread((self.n[line] - gone).astype(np.uint64)))
+
+    def whole(self) -> np.ndarray:
+        none = np.zeros(len(self.n), np.int64)
+        return self.without(np.arange(len(self.n)), none, none)
+
+    def chunk_keys(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the lines whole and without one chunk or two: line, key; and short lines.
+
+        A line is short if leaving chunks out can leave nothing.
+        """
+        chosen = np.zeros(len(self.n), bool)
+        chosen[lines] = True
+        owner = np.repeat(np.arange(len(self.n)), self.n)
+        cut = chosen[owner] & ((self.words >> np.uint64(7)) % np.uint64(CHUNK_WORDS) == 0)
+        cut &= self.place + 1 < self.n[owner]
+        line = np.concatenate([lines, owner[cut], lines])
+        edge = np.concatenate([np.zeros_like(lines), self.place[cut] + 1, self.n[lines]])
+        order = np.lexsort((edge, line))
+        line, edge = line[order], edge[order]
+        edges = np.bincount(line, minlength=len(self.n))
+        short = lines[edges[lines] <= 3]
+        found = [(lines, np.zeros_like(lines), np.zeros_like(lines))]
+        for step in (1, 2):
+            same = line[:-step] == line[step:]
+            found.append((line[:-step][same], edge[:-step][same], edge[step:][same]))
+        line, first, after = (np.concatenate(x) for x in zip(*found, strict=True))
+        long = edges[line] > 3
+        line, first, after = line[long], first[long], after[long]
+        return line, self.without(line, first, after), short
+
+
+def _lines_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the texts; edges of all their lines; text and number in it of each line."""
+    data, at = bytes_of(column)
+    breaks = np.flatnonzero(data == 10) + 1
+    per_text = np.diff(np.searchsorted(breaks, at, "right")) + 1
+    text = np.repeat(np.arange(len(per_text)), per_text)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    edges = np.empty(len(text) + 1, np.int64)
+    edges[:-1][number == 0] = at[:-1]
+    edges[:-1][number > 0] = breaks
+    edges[-1] = at[-1]
+    return data, edges, text, number
+
+
+_PLACES = "doc_id bigint, text_hash bigint, line bigint, place int, keys array<bigint>, short boolean"
 
 
 def _places(batches):
-    """A row per document and distinct line; chunk keys once per line and batch part."""
+    """A row per line with words; chunk keys once per distinct line of a batch part."""
     for batch in batches:
-        for at in range(0, batch.num_rows, _DOCS_AT_ONCE):
-            part = batch.slice(at, _DOCS_AT_ONCE)
-            out, seen = [], set()
-            for doc_id, text_hash, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                own: dict[bytes, list] = {}
-                for number, _, words in _lines_of(text):
-                    key = b" ".join(words)
-                    if key in own:
-                        own[key][3].append(number)
-                        continue
-                    hashed = Hashed(words)
-                    name, keys, short = _signed(hashed.whole()), None, None
-                    if name not in seen:
-                        seen.add(name)
-                        found = hashed.chunk_keys()
-                        short = found is None
-                        keys = None if short else found.view(np.int64)
-                    own[key] = [doc_id, text_hash, name, [number], keys, short]
-                out += own.values()
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.bool_()]
+        for part in parts_of(batch, 2, _PART_BYTES):
+            data, edges, text, number = _lines_of(part.column(2))
+            words, n = hashes_between(data, edges, lower=False)
+            filled = np.flatnonzero(n)
+            hashed = Hashed(words, n[filled])
+            names = hashed.whole()
+            distinct = np.sort(np.unique(names, return_index=True)[1])
+            line, keys, short = hashed.chunk_keys(distinct)
+            order = np.argsort(line, kind="stable")
+            ends = np.cumsum(np.bincount(line, minlength=len(filled)))
+            is_short = np.zeros(len(filled), bool)
+            is_short[short] = True
+            own = pa.array(text[filled])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "text_hash", "line", "places", "keys", "short"],
+                [
+                    part.column(0).take(own),
+                    part.column(1).take(own),
+                    pa.array(names.view(np.int64)),
+                    pa.array(number[filled], pa.int32()),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.r_[0, ends], pa.int32()), pa.array(keys[order].view(np.int64))
+                    ),
+                    pa.array(is_short),
+                ],
+                ["doc_id", "text_hash", "line", "place", "keys", "short"],
             )
 
 
@@ -155,17 +159,22 @@ def _meeting(batches):
 
 
 def _texts(batches):
-    """Distinct lines of a batch part, white space between words made one blank."""
+    """Distinct lines of a batch part with their bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, _DOCS_AT_ONCE):
-            found: dict[bytes, int] = {}
-            for text in batch.slice(at, _DOCS_AT_ONCE).column(0).to_pylist():
-                for _, _, words in _lines_of(text):
-                    key = b" ".join(words)
-                    if key not in found:
-                        found[key] = _signed(Hashed(words).whole())
+        for part in parts_of(batch, 0, _PART_BYTES):
+            data, edges, _, _ = _lines_of(part.column(0))
+            words, n = hashes_between(data, edges, lower=False)
+            filled = np.flatnonzero(n)
+            names = Hashed(words, n[filled]).whole()
+            distinct = np.sort(np.unique(names, return_index=True)[1])
+            pieces = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())]
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found.values()), pa.int64()), pa.array(list(found), pa.binary())],
+                [
+                    pa.array(names[distinct].view(np.int64)),
+                    pieces.take(pa.array(filled[distinct])).cast(pa.binary()),
+                ],
                 ["line", "words"],
             )
 
@@ -176,22 +185,17 @@ _VARIANTS = "key bigint, left_out int, line bigint, first_doc bigint, first_plac
 def _variants(batches):
     """A key for the whole line (nothing left out: -1) and for each word left out."""
     for batch in batches:
-        for at in range(0, batch.num_rows, _DOCS_AT_ONCE):
-            part = batch.slice(at, _DOCS_AT_ONCE)
-            keys, places, sizes = [], [], []
-            for text in part.column(3).to_pylist():
-                hashed = Hashed(text.split(b" "))
-                first = np.arange(-1, hashed.n)
-                places.append(first)
-                keys.append(hashed.without(np.maximum(first, 0), first + 1))
-                sizes.append(hashed.n + 1)
-            if not keys:
-                continue
-            again = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+        for part in parts_of(batch, 3, _PART_BYTES // 8):
+            words, n = word_hashes(part.column(3), lower=False)
+            hashed = Hashed(words, n)
+            line = np.repeat(np.arange(len(n)), n + 1)
+            left_out = np.arange(len(line)) - np.repeat(np.cumsum(n + 1) - (n + 1), n + 1) - 1
+            keys = hashed.without(line, np.maximum(left_out, 0), left_out + 1)
+            again = pa.array(line)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(np.concatenate(places), pa.int32()),
+                    pa.array(keys.view(np.int64)),
+                    pa.array(left_out, pa.int32()),
                     *(part.column(i).take(again) for i in range(3)),
                 ],
                 ["key", "left_out", "line", "first_doc", "first_place"],
@@ -203,7 +207,11 @@ def _proposals(batches):
     key = whole = head = place = None
     for batch in batches:
         out = []
-        for now, left_out, line, *first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        keys = np.array(batch.column(0))
+        shared = np.ones(len(keys), bool)  # with a neighbour; the ends may be, with other batches
+        shared[1:-1] = (keys[1:-1] == keys[:-2]) | (keys[1:-1] == keys[2:])
+        rows = batch.filter(pa.array(shared))
+        for now, left_out, line, *first in zip(*(c.to_pylist() for c in rows.columns), strict=True):
             if now != key:
                 key, whole, head, place = now, None, None, None
             if left_out < 0:
@@ -238,7 +246,7 @@ def _verified(batches):
         lines = [
             line
             for line, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            if within_one_word(a.split(b" "), b.split(b" "))
+            if within_one_word(a.split(), b.split())
         ]
         yield pa.RecordBatch.from_arrays([pa.array(lines, pa.int64())], ["line"])
 
@@ -248,10 +256,13 @@ def _rebuilt(batches):
         doc_ids, texts, drops = (c.to_pylist() for c in batch.columns)
         kept, counts, gone = [], [], []
         for text, drop in zip(texts, drops, strict=True):
-            lines, drop = text.split(b"\n"), set(drop or ())
-            counts.append(len(lines))
-            gone.append(len(drop))
-            kept.append(b"\n".join(x for i, x in enumerate(lines) if i not in drop).decode())
+            counts.append(text.count(b"\n") + 1)
+            gone.append(len(drop or ()))
+            if drop:
+                without = set(drop)
+                lines = enumerate(text.split(b"\n"))
+                text = b"\n".join(x for i, x in lines if i not in without)
+            kept.append(text.decode())
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(doc_ids, pa.int64()),
@@ -267,8 +278,7 @@ def _near(source: DataFrame, places: DataFrame, firsts: DataFrame) -> DataFrame:
     """Lines with an earlier near line."""
     parts = shuffle_partitions(source.sparkSession)
     coarse = (
-        places.where("keys is not null")
-        .select(F.explode("keys").alias("key"), "line")
+        places.select(F.explode("keys").alias("key"), "line")
         .repartition(parts, "key")
         .sortWithinPartitions("key", "line")
     )
@@ -313,13 +323,10 @@ def deduplicated_lines(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
     places = stored(in_arrow(source, _places, _PLACES), "line_places")
-    order = F.struct(
-        F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.element_at("places", 1).alias("place")
-    )
+    order = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "place")
     firsts = stored(
         places.groupBy("line").agg(
-            F.min(order).alias("first"),
-            ((F.count("*") > 1) | (F.max(F.size("places")) > 1)).alias("repeated"),
+            F.min(order).alias("first"), (F.count("*") > 1).alias("repeated")
         ),
         "first_places",
     )
@@ -330,15 +337,15 @@ def deduplicated_lines(docs: DataFrame) -> DataFrame:
         .select(F.col("line").alias("marked"), "first", F.coalesce("near", F.lit(False)).alias("near")),
         "marked_lines",
     )
-    is_first = F.coalesce("doc_id", F.lit(_LAST)) == F.col("first.doc")
-    others = F.when(is_first, F.array_remove("places", F.col("first.place"))).otherwise(F.col("places"))
+    is_first = (F.coalesce("doc_id", F.lit(_LAST)) == F.col("first.doc")) & (
+        F.col("place") == F.col("first.place")
+    )
     drops = (
-        places.select("doc_id", "text_hash", "line", "places")
-        .distinct()
+        places.select("doc_id", "text_hash", "line", "place")
         .join(marked, F.col("line") == F.col("marked"))
-        .select("doc_id", "text_hash", F.when(F.col("near"), F.col("places")).otherwise(others).alias("drop"))
+        .where(F.col("near") | ~is_first)
         .groupBy(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"))
-        .agg(F.flatten(F.collect_list("drop")).alias("drop"))
+        .agg(F.collect_set("place").alias("drop"))
     )
     together = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))
     return in_arrow(

@@ -1,8 +1,8 @@
 """Near-duplicates by an LSH forest over MinHash signatures.
 
 Documents with equal shingle sets are one class. A class has ``TREES * DEPTH``
-minimum hashes; tree t sorts the classes by its own ``DEPTH`` values. Neighbours
-in that order that share at least ``LEAST_DEPTH`` leading values are candidates:
+minimum hashes; tree t sorts the classes by its own ``DEPTH`` values and then
+by those of the next, ``SORTED_DEPTH`` in all. Neighbours in that order that share at least ``LEAST_DEPTH`` leading values are candidates:
 the order puts the longest common prefixes side by side, so in a crowded region
 deeper values decide who is compared, and in a thin one a short prefix is enough.
 
@@ -31,7 +31,8 @@ PERCENT = 75
 TREES = 24
 DEPTH = 5
 LEAST_DEPTH = 3
-NEIGHBOURS = 3
+SORTED_DEPTH = 10
+NEIGHBOURS = 8
 FIRST_TREES = 2
 _CACHED_WORDS = 500_000
 _MATRIX_ROWS = 4_096
@@ -184,7 +185,9 @@ def candidates(classes: DataFrame) -> DataFrame:
         "class", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     ).select(
         "tree",
-        F.expr(f"substring(signature, tree * {width} + 1, {width})").alias("key"),
+        F.expr(
+            f"substring(concat(signature, signature), tree * {width} + 1, {4 * SORTED_DEPTH})"
+        ).alias("key"),
         "class",
     )
     dealt = rows.repartitionByRange(

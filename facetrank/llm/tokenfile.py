@@ -40,10 +40,11 @@ LEVEL = 3
 SAMPLE_DOCS = 1_000
 SAMPLE_DOC_BYTES = 32 << 10
 DICTIONARY_BYTES = 64 << 10
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 600_000
 _DOCS_AT_ONCE = 256
 _JOINED_WORDS = 256
-_MARKS = frozenset(b".,;:!?")
+# A run of these after letters is a piece of its own.
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
 class WordEncoder:
@@ -69,46 +70,56 @@ class WordEncoder:
 
     def _learn_letters(self, words: list[bytes]) -> None:
         """Words of letters only: each ends at its own end mark."""
-        for at in range(0, len(words), _JOINED_WORDS):
-            group = words[at : at + _JOINED_WORDS]
-            ids = self._encode(b" ".join(group).decode())
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+        groups = [words[at : at + _JOINED_WORDS] for at in range(0, len(words), _JOINED_WORDS)]
+        texts = [b" ".join(group).decode() for group in groups]
+        width = self.kind.itemsize
+        for group, found in zip(
+            groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True
+        ):
+            ids = np.array(found.ids, self.kind)
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
             if len(cuts) == len(group):
-                parts = np.split(ids, cuts[:-1])
+                data = ids.tobytes()
+                parts = [data[i:j] for i, j in zip([0, *cuts], cuts, strict=False)]
             else:  # some letter is not one to the tokenizer
-                parts = [self._encode(word.decode()) for word in group]
-            for word, part in zip(group, parts, strict=True):
-                self.words[word] = part.tobytes()
+                parts = [self._encode(word.decode()).tobytes() for word in group]
+            self.words.update(zip(group, parts, strict=True))
 
     def learn(self, words: set[bytes]) -> None:
+        """Keep the ids of new words: letters and then marks are looked up apart."""
         letters, marked = set(), []
         for word in words:
-            core = word[:-1] if word[-1] in _MARKS else word
+            core = word.rstrip(_MARKS)
             if core and core.decode(errors="replace").isalpha():
                 letters.add(core)
-                if core is not word:
-                    marked.append(word)
+                if len(core) < len(word):
+                    marked.append((word, core, word[len(core) :]))
             else:
                 self.words[word] = self._encode(word.decode(errors="replace")).tobytes()
         self._learn_letters([w for w in letters if w not in self.words])
-        for word in marked:
-            mark = word[-1:]
-            if mark not in self.words:
-                self.words[mark] = self._encode(mark.decode()).tobytes()
-            self.words[word] = self.words[word[:-1]] + self.words[mark]
+        for word, core, marks in marked:
+            if marks not in self.words:
+                self.words[marks] = self._encode(marks.decode()).tobytes()
+            self.words[word] = self.words[core] + self.words[marks]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Serialized ids of each text, without an end id."""
         if len(self.words) > _CACHED_WORDS:
             self.words.clear()
-        split = [None if b"<|" in t else t.lower().split() for t in texts]
-        self.learn(set().union(*(w for w in split if w)) - self.words.keys())
-        ids = self.words.__getitem__
+        split = [[] if b"<|" in text else text.lower().split() for text in texts]
+        ids = [list(map(self.words.get, words)) for words in split]
+        gaps = [
+            (words, own, [k for k, known in enumerate(own) if known is None])
+            for words, own in zip(split, ids, strict=True)
+            if None in own
+        ]
+        self.learn({words[k] for words, _, places in gaps for k in places})
+        for words, own, places in gaps:
+            for k in places:
+                own[k] = self.words[words[k]]
         return [
-            self._encode(text.decode(errors="replace")).tobytes()
-            if words is None
-            else b"".join(map(ids, words))
-            for text, words in zip(texts, split, strict=True)
+            self._encode(text.decode(errors="replace")).tobytes() if b"<|" in text else b"".join(own)
+            for text, own in zip(texts, ids, strict=True)
         ]
 
 

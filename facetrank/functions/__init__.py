@@ -11,7 +11,7 @@ from facetrank.functions.cells import (
 )
 from facetrank.functions.means import (
     mean_from_sums,
-    sum_parts,
+    sums_of,
     weigh,
     weighted_mean,
 )
@@ -24,7 +24,7 @@ __all__ = [
     "split_field",
     "split_items",
     "strip_quotes",
-    "sum_parts",
+    "sums_of",
     "tokenize",
     "weigh",
     "weighted_mean",

@@ -2,11 +2,23 @@
 
 Ranks and argmax compare means for equality, so two groups made of the same
 titles must get the same double whatever the partitioning. A plain sum of
-doubles does not promise that. So values are summed in one declared decimal type:
-a value is an integer number of millionths (``scale`` decimals), and products and
-sums are decimals of 38 digits, which are exact. A value that has more decimals,
-or is not finite or too large, raises an error, and so does a sum that does not
-fit; nothing is rounded or wraps.
+doubles does not promise that. Here every number counts as the decimal that
+Spark writes for it (0.1 is one tenth), and sums are exact:
+
+- A row whose value is a whole number of millionths and whose weight is a whole
+  number gives one product and one weight, both whole.
+- Any other row is cut into digits: the nine-digit halves of both mantissas are
+  multiplied pair by pair, and each product goes to the *bin* of its power of
+  ten. Bins are nine powers apart, so a bin's sum is a whole decimal as well.
+
+Sums are taken per group and bin, then a group's few bins are put together and
+rounded to a double once. Doubles of any size, in values and in weights, give
+the mean of their exact sums; NaN and infinities are errors, and so is a bin
+whose sum passes 38 digits. Nothing wraps.
+
+With ``scale`` the caller declares that values have at most so many decimals and
+that weights are whole. Then there is one bin and one aggregation less, and a
+value that has more decimals is an error.
 """
 
 from __future__ import annotations
@@ -15,44 +27,215 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, IntegralType
 
-PRODUCT, WEIGHT = "_product", "_weight"
+PRODUCT, WEIGHT, BIN = "_product", "_weight", "_bin"
+# Decimals of the values in bin 0; products of other bins are this far apart as well.
 SCALE = 6
-_WHOLE = "decimal(18,0)"
+_STEP = 9
+_HALF = 10**_STEP
 _SUM = "decimal(38,0)"
 
 
-def weigh(df: DataFrame, value: str, weight: str, scale: int = SCALE) -> DataFrame:
-    """Replace ``value`` and ``weight`` by two summable parts."""
-    unit = F.lit(float(10**scale))
-    v = F.col(value).cast("double")
-    whole = F.rint(v * unit)
-    fits = (whole / unit == v) & (F.abs(whole) < F.lit(1e15))
+def _number(df: DataFrame, name: str) -> Column:
+    """A column as a bigint or floating number; others are read as doubles."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, IntegralType):
+        return F.col(name).cast("bigint")
+    if isinstance(kind, (DoubleType, FloatType)):
+        return F.col(name)
+    return F.col(name).cast("double")
+
+
+def _whole(x: Column, unit: int, limit: float) -> tuple[Column, Column]:
+    """``x`` in units of 1/``unit`` as a bigint, and whether that is exact."""
+    scaled = F.rint(x.cast("double") * F.lit(float(unit)))
+    exact = (scaled / F.lit(float(unit)) == x) & (F.abs(scaled) < F.lit(limit))
+    return scaled, exact
+
+
+def _digits(x: Column) -> tuple[Column, Column]:
+    """Signed mantissa and power of ten of the decimal that Spark writes for ``x``."""
+    text = x.cast("string")
+    head = F.substring_index(text, "E", 1)
+    power = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int"))
+    decimals = F.when(F.contains(head, F.lit(".")), F.length(F.substring_index(head, ".", -1)))
+    return (
+        F.translate(head, ".", "").cast("bigint"),
+        F.coalesce(power, F.lit(0)) - F.coalesce(decimals, F.lit(0)),
+    )
+
+
+def _halves(mantissa: Column) -> list[Column]:
+    """Nine-digit halves, low first, with the sign of the whole."""
+    high = F.try_divide(mantissa - mantissa % F.lit(_HALF), F.lit(_HALF)).cast("bigint")
+    return [(mantissa % F.lit(_HALF)).cast("decimal(11,0)"), high.cast("decimal(11,0)")]
+
+
+def _part(number: Column, power: Column, base: int, product: bool) -> Column:
+    """``number * 10**power`` as a part of the bin it falls into."""
+    place = power + F.lit(base)
+    up = F.element_at(
+        F.array(*[F.lit(10**r).cast("decimal(10,0)") for r in range(_STEP)]),
+        (F.pmod(place, F.lit(_STEP)) + 1).cast("int"),
+    )
+    held = (number * up).cast(_SUM)
+    none = F.lit(None).cast(_SUM)
+    return _struct(
+        F.floor(place / F.lit(float(_STEP))), held if product else none, none if product else held
+    )
+
+
+def _struct(bin_: Column, product: Column, weight: Column) -> Column:
+    return F.struct(
+        bin_.cast("int").alias(BIN), product.cast(_SUM).alias(PRODUCT), weight.cast(_SUM).alias(WEIGHT)
+    )
+
+
+def weigh(df: DataFrame, value: str, weight: str, scale: int | None = None) -> DataFrame:
+    """Replace ``value`` and ``weight`` by summable parts; a row may become several.
+
+    A NULL value adds nothing to the products, but its weight counts; a NULL
+    weight adds nothing at all.
+    """
+    v, w = _number(df, value), _number(df, weight)
+    kept = [c for c in df.columns if c not in (value, weight)]
+    if scale is not None:
+        return _weigh_declared(df, v, w, kept, scale)
+    whole, exact = _whole(v, 10**SCALE, 1e15)
+    units, countable = _whole(w, 1, 1e12)
+    simple = _struct(
+        F.lit(0),
+        whole.try_cast("bigint").try_cast("decimal(16,0)") * units.try_cast("bigint").try_cast("decimal(13,0)"),
+        units.try_cast("bigint"),
+    )
+    (v_mantissa, v_power), (w_mantissa, w_power) = _digits(v), _digits(w)
+    products = [
+        _part(a * b, v_power + w_power + F.lit(_STEP * (i + j)), SCALE, True)
+        for i, a in enumerate(_halves(v_mantissa))
+        for j, b in enumerate(_halves(w_mantissa))
+    ]
+    weights = [
+        _part(half, w_power + F.lit(_STEP * i), 0, False) for i, half in enumerate(_halves(w_mantissa))
+    ]
+    no_value = v.isNull()
+    endless = F.lit(False)
+    for number in (v, w):
+        as_double = number.cast("double")
+        endless = endless | F.isnan(as_double) | (F.abs(as_double) == F.lit(float("inf")))
+    refused = F.raise_error(F.concat(F.lit("not a finite number: "), v.cast("string"), F.lit(" or "), w.cast("string")))
+    parts = (
+        F.when((no_value | exact) & (w.isNull() | countable), F.array(simple))
+        .when(F.coalesce(endless, F.lit(False)), refused.cast(f"array<struct<{BIN}:int,{PRODUCT}:{_SUM},{WEIGHT}:{_SUM}>>"))
+        .when(w.isNull(), F.array(_struct(F.lit(0), F.lit(None), F.lit(None))))
+        .when(no_value, F.array(*weights))
+        .otherwise(F.array(*products, *weights))
+    )
+    return df.select(*kept, F.inline(parts))
+
+
+def _weigh_declared(df: DataFrame, v: Column, w: Column, kept: list[str], scale: int) -> DataFrame:
+    whole, exact = _whole(v, 10**scale, 1e15)
+    units, countable = _whole(w, 1, 1e15)
+    fits = F.coalesce(exact, F.lit(True)) & F.coalesce(countable, F.lit(True))
     refused = F.raise_error(
-        F.concat(F.lit("value does not fit the declared decimals: "), v.cast("string"))
+        F.concat(
+            F.lit("value or weight does not fit the declared decimals: "),
+            F.concat_ws(", ", v.cast("string"), w.cast("string")),
+        )
     )
-    whole = F.when(v.isNull() | fits, whole.cast("bigint")).otherwise(refused.cast("bigint"))
-    w = F.col(weight)
+    whole = F.when(fits, whole.try_cast("bigint")).otherwise(refused.cast("bigint"))
+    units = units.try_cast("bigint")
     return df.select(
-        *[c for c in df.columns if c not in (value, weight)],
-        (whole.cast(_WHOLE) * w.cast(_WHOLE)).cast(_SUM).alias(PRODUCT),
-        w.alias(WEIGHT),
+        *kept,
+        (whole.cast("decimal(16,0)") * units.try_cast("decimal(16,0)")).cast(_SUM).alias(PRODUCT),
+        units.cast(_SUM).alias(WEIGHT),
+    )
+
+
+def _rounded(bins: Column, sums: str, base: int) -> Column:
+    """The sum over the bins of a group, rounded to a double once.
+
+    Bins are added from the lowest up and carried, nine digits each; more bins
+    than a sum has digits take the last carry. A negative total leaves a carry of
+    -1, then the bins are summed with their signs turned. Digits and power are
+    read as one number, which rounds correctly.
+    """
+    step = F.lit(_HALF).cast("decimal(10,0)")
+    zero = F.lit(0).cast(_SUM)
+    held = F.map_from_entries(
+        F.transform(bins, lambda b: F.struct(b[BIN], F.coalesce(b[sums], zero)))
     )
+    lowest, highest = (f(F.transform(bins, lambda b: b[BIN])) for f in (F.array_min, F.array_max))
+
+    def carried(sign: int) -> Column:
+        def add(state: Column, bin_: Column) -> Column:
+            own = F.coalesce(F.try_element_at(held, bin_), zero)
+            total = ((own if sign > 0 else -own) + state["carry"]).cast(_SUM)
+            digits = F.pmod(total, step)
+            return F.struct(
+                ((total - digits) / step).cast(_SUM).alias("carry"),
+                F.concat(F.lpad(digits.cast("bigint").cast("string"), _STEP, "0"), state["text"]).alias("text"),
+            )
 
+        return F.aggregate(
+            F.sequence(lowest, highest + F.lit(5)),
+            F.struct(zero.alias("carry"), F.lit("").alias("text")),
+            add,
+        )
 
-def sum_parts() -> list[Column]:
-    """Aggregates over the parts made by :func:`weigh`; they combine map-side."""
-    return [F.sum(part).alias(part) for part in (PRODUCT, WEIGHT)]
+    power = F.concat(F.lit("E"), (lowest * F.lit(_STEP) - F.lit(base)).cast("string"))
+    up, down = carried(1), carried(-1)
+    general = (
+        F.when(up["carry"] >= 0, F.concat(up["text"], power))
+        .otherwise(F.concat(F.lit("-"), down["text"], power))
+        .cast("double")
+    )
+    only = F.get(bins, F.lit(0))
+    alone = F.concat(only[sums].cast("string"), power).cast("double")
+    some = F.exists(bins, lambda b: b[sums].isNotNull())
+    return F.when(F.size(bins) == 1, alone).when(some, general)
 
 
-def total_from_sums(scale: int = SCALE) -> Column:
-    """Sum of value * weight."""
-    return F.col(PRODUCT).cast("double") / F.lit(float(10**scale))
+def group_sums(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per group the sums of value * weight and of the weights, as doubles.
 
+    ``parts`` comes from :func:`weigh`. Sums combine map-side; then a group moves
+    as one row per bin, which is one row unless numbers were cut into digits.
+    """
+    sums = [F.sum(PRODUCT).alias(PRODUCT), F.sum(WEIGHT).alias(WEIGHT)]
+    if BIN not in parts.columns:
+        raise ValueError("parts of declared decimals are summed by declared_sums")
+    bins = F.collect_list(F.struct(BIN, PRODUCT, WEIGHT)).alias("_bins")
+    found = parts.groupBy(*by, BIN).agg(*sums).groupBy(*by).agg(bins)
+    return found.select(
+        *by,
+        _rounded(F.col("_bins"), PRODUCT, SCALE).alias(PRODUCT),
+        _rounded(F.col("_bins"), WEIGHT, 0).alias(WEIGHT),
+    )
 
-def mean_from_sums(digits: int | None = None, scale: int = SCALE) -> Column:
+
+def declared_sums(parts: DataFrame, by: Sequence[str], scale: int) -> DataFrame:
+    """As :func:`group_sums`, in one aggregation, for parts made with ``scale``."""
+    power = F.lit(f"E-{scale}")
+    return (
+        parts.groupBy(*by)
+        .agg(F.sum(PRODUCT).alias(PRODUCT), F.sum(WEIGHT).alias(WEIGHT))
+        .select(
+            *by,
+            F.concat(F.col(PRODUCT).cast("string"), power).cast("double").alias(PRODUCT),
+            F.col(WEIGHT).cast("double").alias(WEIGHT),
+        )
+    )
+
+
+def sums_of(parts: DataFrame, by: Sequence[str], scale: int | None = None) -> DataFrame:
+    return group_sums(parts, by) if scale is None else declared_sums(parts, by, scale)
+
+
+def mean_from_sums(digits: int | None = None) -> Column:
     """Mean from summed parts; NULL when the weights add up to zero."""
-    mean = F.try_divide(total_from_sums(scale), F.col(WEIGHT).cast("double"))
+    mean = F.try_divide(F.col(PRODUCT), F.col(WEIGHT))
     return mean if digits is None else F.round(mean, digits)
 
 
@@ -63,16 +246,12 @@ def weighted_mean(
     weight: str,
     name: str,
     digits: int | None = None,
-    scale: int = SCALE,
+    scale: int | None = None,
 ) -> DataFrame:
     """One row per group with sum(value * weight) / sum(weight).
 
     ``digits`` rounds half up. Partial sums are taken before the shuffle, so a
-    group holding most of the rows sends one row per task.
+    group holding most of the rows sends one row per task and bin.
     """
     parts = weigh(df.select(*by, value, weight), value, weight, scale)
-    return (
-        parts.groupBy(*by)
-        .agg(*sum_parts())
-        .select(*by, mean_from_sums(digits, scale).alias(name))
-    )
+    return sums_of(parts, by, scale).select(*by, mean_from_sums(digits).alias(name))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from facetrank.functions.means import mean_from_sums, sum_parts, weigh
+from facetrank.functions.means import mean_from_sums, sums_of, weigh
 from facetrank.operators import (
     drop_missing,
     explode_facets,
@@ -49,7 +49,7 @@ def rated_titles(tables: TitleTables, rules: FacetRules) -> DataFrame:
     if rules.dedupe_countries:
         countries = one_row_per_key(countries, ["titleId"], [F.col("countries")])
     titles = join_titles(eligible_titles(tables.basics, rules), ratings, countries)
-    return weigh(titles, "rating", "numVotes")
+    return weigh(titles, "rating", "numVotes", rules.scale)
 
 
 def credited_titles(tables: TitleTables, rules: FacetRules) -> DataFrame:
@@ -72,27 +72,17 @@ def genre_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     if rules.genres_need_directors:
         crew = drop_missing(tables.crew.select("titleId", "directors"), ["directors"])
         titles = join_titles(titles, crew.select("titleId"))
-    return (
-        explode_by_rules(titles, FACETS, rules)
-        .groupBy("country", "genre")
-        .agg(*sum_parts())
-        .select("country", "genre", mean_from_sums().alias("weightedAveRating"))
-    )
+    sums = sums_of(explode_by_rules(titles, FACETS, rules), ["country", "genre"], rules.scale)
+    return sums.select("country", "genre", mean_from_sums().alias("weightedAveRating"))
 
 
 def director_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     """(country, genre, director, weighted_rating)."""
     facets = FACETS | {"directors": "director"}
-    return (
-        explode_by_rules(credited_titles(tables, rules), facets, rules)
-        .groupBy("country", "genre", "director")
-        .agg(*sum_parts())
-        .select(
-            "country",
-            "genre",
-            "director",
-            mean_from_sums(rules.director_digits).alias("weighted_rating"),
-        )
+    by = ["country", "genre", "director"]
+    rows = explode_by_rules(credited_titles(tables, rules), facets, rules)
+    return sums_of(rows, by, rules.scale).select(
+        *by, mean_from_sums(rules.director_digits).alias("weighted_rating")
     )
 
 
@@ -127,10 +117,10 @@ def facet_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     )
     kept = [c for c in rows.columns if c != "directors"]
     rows = rows.select(*kept, F.posexplode("directors").alias("_place", "director"))
-    sums = (
-        rows.withColumn("is_genre", F.col("_own") & (F.col("_place") == 0))
-        .groupBy("country", "genre", "is_genre", "director")
-        .agg(*sum_parts())
+    sums = sums_of(
+        rows.withColumn("is_genre", F.col("_own") & (F.col("_place") == 0)),
+        ["country", "genre", "is_genre", "director"],
+        rules.scale,
     )
     exact = mean_from_sums()
     compared = mean_from_sums(rules.director_digits)

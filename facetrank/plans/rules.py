@@ -17,6 +17,9 @@ class FacetRules:
 
     # Directors are compared on a mean rounded to this many digits; None: exact.
     director_digits: int | None = 1
+    # Decimals that all ratings keep to, with whole votes: spares an aggregation, and
+    # other numbers are errors. None: any doubles.
+    scale: int | None = None
     # Only titles with a director entry count in the genre means.
     genres_need_directors: bool = False
     # Look names up before the ranking, so that a director without a name makes

@@ -26,6 +26,8 @@ def build_session(
         # a skewed key be split even when that costs one more shuffle.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Tables beyond 25 TB need more buckets than Spark allows by default.
+        .config("spark.sql.sources.bucketing.maxBuckets", "1000000")
     )
     if master:
         builder = builder.master(master)

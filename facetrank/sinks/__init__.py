@@ -3,6 +3,8 @@
 from facetrank.sinks.delimited import is_writable, write_delimited
 from facetrank.sinks.tables import (
     append_rows,
+    clean_versions,
+    drop_table,
     insert_overwrite,
     overwrite_table,
     qualified,
@@ -11,6 +13,8 @@ from facetrank.sinks.tables import (
 
 __all__ = [
     "append_rows",
+    "clean_versions",
+    "drop_table",
     "insert_overwrite",
     "is_writable",
     "overwrite_table",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from facetrank.schemas import TitleTables
 from facetrank.session import scratch_database
-from facetrank.sinks.tables import overwrite_table, qualified
+from facetrank.sinks.tables import drop_table, overwrite_table
 
 ROWS_PER_BUCKET = 16_000_000
 MIN_BUCKETS = 8
@@ -109,7 +109,7 @@ def bucket_count(spark: SparkSession, sf_dir: str) -> int:
 def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
     """Derive and store the inputs, bucketed by their join keys.
 
-    The tables are replaced, so runs do not pile up; each data folder has its own.
+    The tables are replaced; frames of an earlier call go on reading its version.
     """
     database = scratch_database(spark)
     buckets = bucket_count(spark, sf_dir)
@@ -135,7 +135,7 @@ def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
         countries=store("countries", derived.countries, "titleId", True),
     )
     # Its columns are in the other tables now.
-    spark.sql(f"DROP TABLE {qualified(f'facts_{mark:08x}', database)}")
+    drop_table(spark, f"facts_{mark:08x}", database)
     return stored
 
 

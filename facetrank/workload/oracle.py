@@ -378,6 +378,22 @@ SQL: dict[str, str] = {
     "weighted_mean_3keys": _with(
         FACETS, "select country, genre, director, m as mean_rating from director_means"
     ),
+    # Whole units of 1e-9 and 1e-8; the exact sums are rounded once each.
+    "weighted_mean_fractional": """
+        with units as (
+          select l_suppkey,
+                 (cast(round(l_extendedprice * 100) as bigint) * 20000000 + 3) // 6 as v,
+                 cast(round(l_discount * 100) as bigint) * 15625 as w
+          from lineitem
+        ),
+        sums as (
+          select l_suppkey, sum(cast(v as hugeint) * w) as vw, sum(w) as w from units group by l_suppkey
+        )
+        select l_suppkey,
+               case when w <> 0 then cast(cast(vw as varchar) || 'E-17' as double)
+                                     / cast(cast(w as varchar) || 'E-8' as double) end as mean_value
+        from sums
+    """,
     "group_max": _with(
         FACETS,
         "select country, genre, max(m) as best_mean from director_means group by country, genre",

@@ -17,7 +17,7 @@ from facetrank.functions import (
     strip_quotes,
     weighted_mean,
 )
-from facetrank.functions.means import WEIGHT, sum_parts, total_from_sums, weigh
+from facetrank.functions.means import PRODUCT, WEIGHT, sums_of, weigh
 from facetrank.operators import (
     argmax_ties,
     collect_sorted,
@@ -459,11 +459,11 @@ def tokenize_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sum_product")
 def sum_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = genre_rows(inputs(spark, sf_dir)).select("country", "rating", "numVotes")
-    sums = weigh(rows, "rating", "numVotes").groupBy("country").agg(*sum_parts())
+    sums = sums_of(weigh(rows, "rating", "numVotes"), ["country"])
     return sums.select(
         "country",
-        F.col(WEIGHT).alias("votes"),
-        total_from_sums().alias("rating_votes"),
+        F.col(WEIGHT).cast("bigint").alias("votes"),
+        F.col(PRODUCT).alias("rating_votes"),
     )
 
 
@@ -482,6 +482,17 @@ def weighted_mean_3keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return director_means(inputs(spark, sf_dir))
 
 
+@query("weighted_mean_fractional")
+def weighted_mean_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights that are not whole and values of more than six decimals."""
+    lines = source(spark, sf_dir, "lineitem").select(
+        "l_suppkey",
+        F.round(F.col("l_extendedprice") / 3, 9).alias("value"),
+        (F.col("l_discount") / 64).alias("weight"),
+    )
+    return weighted_mean(lines, ["l_suppkey"], "value", "weight", "mean_value")
+
+
 @query("group_max")
 def group_max_of_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_max(director_means(inputs(spark, sf_dir)), GROUP, "mean_rating", "best_mean")

@@ -129,9 +129,60 @@ def test_weighted_mean_never_rounds_the_values(spark):
 
 @pytest.mark.parametrize("value", [1e300, 0.1234567, float("nan"), float("inf")])
 def test_values_beyond_the_declared_decimals_are_errors(spark, value):
-    frame = spark.createDataFrame([("a", value, 2)], "k string, v double, w int")
-    with pytest.raises(Exception, match="declared decimals"):
-        weighted_mean(frame, ["k"], "v", "w", "m").collect()
+    for v, w in ((value, 2.0), (2.0, value)):
+        frame = spark.createDataFrame([("a", v, w)], "k string, v double, w double")
+        with pytest.raises(Exception, match="declared decimals"):
+            weighted_mean(frame, ["k"], "v", "w", "m", scale=6).collect()
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), float("-inf")])
+def test_numbers_without_a_sum_are_errors(spark, value):
+    for v, w in ((value, 2.0), (2.0, value)):
+        frame = spark.createDataFrame([("a", v, w)], "k string, v double, w double")
+        with pytest.raises(Exception, match="not a finite number"):
+            weighted_mean(frame, ["k"], "v", "w", "m").collect()
+
+
+def _any_double(rng, kind):
+    return [
+        lambda: rng.choice([-1, 1]) * float(f"{rng.randrange(1, 10**15)}E{rng.randint(-290, 120)}"),
+        lambda: 1 / 3,
+        lambda: float(rng.randint(-(10**15), 10**15)) / 8,
+        lambda: rng.randint(-50, 50) / 10,
+        lambda: rng.choice([0.0, -0.0, 5e-324, 1.5, 0.4]),
+    ][kind]()
+
+
+def test_weighted_mean_of_any_doubles_is_that_of_the_exact_sums(spark):
+    """Fractional weights, thirds, signs that cancel and 400 powers of ten in one group."""
+    rng = random.Random(11)
+    data = []
+    for group in range(75):
+        kinds = (group % 5, group // 5 % 5)
+        data += [(group, *(_any_double(rng, k) for k in kinds)) for _ in range(rng.randint(1, 40))]
+    cancelling = [(75, 1e30, 1.5), (75, 0.1, 0.5), (75, -1e30, 1.5), (75, 7.5, 0.25)]
+    frame = spark.createDataFrame(data + cancelling, "k int, v double, w double")
+    got = dict(rows(weighted_mean(frame.repartition(6), ["k"], "v", "w", "m")))
+    again = dict(rows(weighted_mean(frame.repartition(3, "v"), ["k"], "v", "w", "m")))
+    assert got == again and len(got) == 76
+    for group in got:
+        pairs = [(Fraction(repr(v)), Fraction(repr(w))) for k, v, w in data + cancelling if k == group]
+        weights = sum(w for _, w in pairs)
+        assert got[group] == (float(sum(v * w for v, w in pairs)) / float(weights) if weights else None)
+
+
+def test_weights_that_are_not_whole_weigh_as_they_are(spark):
+    frame = spark.createDataFrame([("a", 3.0, 1.5), ("a", 3.0, 0.4)], "k string, v double, w double")
+    # Both sums are rounded once, 5.7 and 1.9.
+    assert rows(weighted_mean(frame, ["k"], "v", "w", "m")) == [("a", 5.7 / 1.9)]
+    whole = spark.createDataFrame([("a", 3, 2**62), ("a", 5, 2**62)], "k string, v int, w bigint")
+    assert rows(weighted_mean(whole, ["k"], "v", "w", "m")) == [("a", 4.0)]
+
+
+def test_missing_numbers_among_fractions(spark):
+    data = [("a", None, 0.5), ("a", 1 / 3, None), ("a", 6.0, 0.5), ("b", None, 0.3), ("c", 1 / 3, None), ("d", 2.5, 0.0)]
+    frame = spark.createDataFrame(data, "k string, v double, w double")
+    assert dict(rows(weighted_mean(frame, ["k"], "v", "w", "m"))) == {"a": 3.0, "b": None, "c": None, "d": None}
 
 
 def test_large_values_have_one_mean_in_every_order(spark):

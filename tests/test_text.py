@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -15,7 +17,13 @@ from pyspark.sql.types import (
 
 from facetrank.functions import split_items
 from facetrank.schemas import COUNTRIES, INPUTS, MISSING
-from facetrank.sinks import is_writable, overwrite_table, write_delimited
+from facetrank.sinks import (
+    clean_versions,
+    drop_table,
+    is_writable,
+    overwrite_table,
+    write_delimited,
+)
 from facetrank.sources import load_titles, open_titles, read_delimited, read_titles
 from tests import micro
 from tests.conftest import rows
@@ -115,6 +123,56 @@ def test_a_failed_or_wrong_rewrite_keeps_the_old_rows(spark):
     spark.sql("DROP TABLE kept_rows")
 
 
+def _versions(spark, table):
+    root = Path(spark.catalog.getDatabase("default").locationUri.removeprefix("file:"))
+    return len(list((root / f"{table}.versions").iterdir()))
+
+
+def test_a_replace_spares_open_readers_and_the_table(spark):
+    spark.sql("CREATE TABLE swapped (id BIGINT) USING parquet TBLPROPERTIES ('desk' = 'ann')")
+    first = overwrite_table(spark.range(3), "swapped")
+    second = overwrite_table(first.select((F.col("id") + 10).alias("id")), "swapped")  # reads itself
+    third = overwrite_table(spark.range(1), "swapped")
+    assert [rows(df) for df in (first, second, third)] == [
+        [(0,), (1,), (2,)], [(10,), (11,), (12,)], [(0,)]
+    ]
+    properties = dict(tuple(r) for r in spark.sql("SHOW TBLPROPERTIES swapped").collect())
+    assert properties["desk"] == "ann"
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("swapped_")]
+    assert _versions(spark, "swapped") == 3
+    assert clean_versions(spark, "swapped") == 0  # all are young
+    assert clean_versions(spark, "swapped", older_than=0) == 2
+    assert rows(spark.table("swapped")) == [(0,)] and _versions(spark, "swapped") == 1
+    drop_table(spark, "swapped")
+    assert not spark.catalog.tableExists("swapped")
+
+
+def test_buckets_follow_the_stored_bytes_and_stay(spark, monkeypatch):
+    from facetrank.sinks import tables
+
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 4096)
+    # Spark expects a product of sizes for a join; what counts is what is stored.
+    joined = spark.range(3000).join(spark.range(3000), "id")
+    size = len(overwrite_table(joined, "by_bytes", bucket_by="id").inputFiles())
+    assert 2 <= size <= 16
+    kept = overwrite_table(spark.range(10), "by_bytes", bucket_by="id")
+    assert rows(kept) == [(i,) for i in range(10)]
+    with pytest.raises(ValueError, match="buckets"):
+        overwrite_table(spark.range(10), "by_bytes", bucket_by="id", buckets=1000)
+    with pytest.raises(ValueError, match="bucketed"):
+        overwrite_table(spark.range(10), "by_bytes")
+    with pytest.raises(ValueError, match="maxBuckets"):
+        tables.bucket_count(spark, 10**12)
+    drop_table(spark, "by_bytes")
+
+
+def test_a_table_of_another_format_is_not_replaced(spark):
+    spark.sql("CREATE TABLE lines_of_text (value STRING) USING text")
+    with pytest.raises(ValueError, match="parquet"):
+        overwrite_table(spark.createDataFrame([("a",)], "value string"), "lines_of_text")
+    spark.sql("DROP TABLE lines_of_text")
+
+
 def test_trimmed_items(spark, tmp_path):
     path = tmp_path / "c.tsv"
     path.write_text("t1\t A, B \n")

@@ -23,7 +23,7 @@ value that has more decimals is an error.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,7 @@ SCALE = 6
 _STEP = 9
 _HALF = 10**_STEP
 _SUM = "decimal(38,0)"
+_PARTS = f"array<struct<{BIN}:int,{PRODUCT}:{_SUM},{WEIGHT}:{_SUM}>>"
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -66,24 +67,28 @@ def _digits(x: Column) -> tuple[Column, Column]:
     )
 
 
-def _halves(mantissa: Column) -> list[Column]:
+def _let(held: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(held)`` with ``held`` worked out once; the plan holds it once as well."""
+    return F.get(F.transform(F.array(held), use), F.lit(0))
+
+
+def _halves(mantissa: Column) -> Column:
     """Nine-digit halves, low first, with the sign of the whole."""
-    high = F.try_divide(mantissa - mantissa % F.lit(_HALF), F.lit(_HALF)).cast("bigint")
-    return [(mantissa % F.lit(_HALF)).cast("decimal(11,0)"), high.cast("decimal(11,0)")]
+    low = mantissa % F.lit(_HALF)
+    return F.array(low, F.try_divide(mantissa - low, F.lit(_HALF))).cast("array<decimal(11,0)>")
 
 
 def _part(number: Column, power: Column, base: int, product: bool) -> Column:
     """``number * 10**power`` as a part of the bin it falls into."""
-    place = power + F.lit(base)
-    up = F.element_at(
-        F.array(*[F.lit(10**r).cast("decimal(10,0)") for r in range(_STEP)]),
-        (F.pmod(place, F.lit(_STEP)) + 1).cast("int"),
-    )
-    held = (number * up).cast(_SUM)
-    none = F.lit(None).cast(_SUM)
-    return _struct(
-        F.floor(place / F.lit(float(_STEP))), held if product else none, none if product else held
-    )
+
+    def placed(place: Column) -> Column:
+        up = F.pow(F.lit(10.0), F.pmod(place, F.lit(_STEP))).cast("decimal(10,0)")
+        held = (number * up).cast(_SUM)
+        none = F.lit(None).cast(_SUM)
+        bin_ = F.floor(place / F.lit(float(_STEP)))
+        return _struct(bin_, *((held, none) if product else (none, held)))
+
+    return _let(power + F.lit(base), placed)
 
 
 def _struct(bin_: Column, product: Column, weight: Column) -> Column:
@@ -92,6 +97,42 @@ def _struct(bin_: Column, product: Column, weight: Column) -> Column:
     )
 
 
+def _cut(v: Column, w: Column) -> Column:
+    """The parts of one row, by digits."""
+    def parts(x: Column) -> Column:
+        def own(half: Column, i: Column) -> Column:
+            return _part(half, x["w_power"] + F.lit(_STEP) * i, 0, False)
+
+        def crossed(a: Column, i: Column) -> Column:
+            return F.transform(
+                x["w_halves"],
+                lambda b, j: _part(a * b, x["v_power"] + x["w_power"] + F.lit(_STEP) * (i + j), SCALE, True),
+            )
+
+        weights = F.transform(x["w_halves"], own)
+        products = F.flatten(F.transform(x["v_halves"], crossed))
+        return F.when(x["v_power"].isNull(), weights).otherwise(F.concat(products, weights))
+
+    fields = []
+    for number, name in ((v, "v"), (w, "w")):
+        mantissa, power = _digits(number)
+        # The power of a missing number is missing as well.
+        power = F.when(number.isNotNull(), power)
+        fields += [_halves(mantissa).alias(f"{name}_halves"), power.alias(f"{name}_power")]
+    endless = F.lit(False)
+    for number in (v, w):
+        as_double = number.cast("double")
+        endless = endless | F.isnan(as_double) | (F.abs(as_double) == F.lit(float("inf")))
+    refused = F.raise_error(
+        F.concat_ws(" ", F.lit("not a finite number:"), v.cast("string"), w.cast("string"))
+    )
+    return (
+        F.when(F.coalesce(endless, F.lit(False)), refused.cast(_PARTS))
+        .when(w.isNull(), F.array(_struct(F.lit(0), F.lit(None), F.lit(None))))
+        .otherwise(_let(F.struct(*fields), parts))
+    )
+
+
 def weigh(df: DataFrame, value: str, weight: str, scale: int | None = None) -> DataFrame:
     """Replace ``value`` and ``weight`` by summable parts; a row may become several.
 
@@ -109,28 +150,11 @@ def weigh(df: DataFrame, value: str, weight: str, scale: int | None = None) -> D
         whole.try_cast("bigint").try_cast("decimal(16,0)") * units.try_cast("bigint").try_cast("decimal(13,0)"),
         units.try_cast("bigint"),
     )
-    (v_mantissa, v_power), (w_mantissa, w_power) = _digits(v), _digits(w)
-    products = [
-        _part(a * b, v_power + w_power + F.lit(_STEP * (i + j)), SCALE, True)
-        for i, a in enumerate(_halves(v_mantissa))
-        for j, b in enumerate(_halves(w_mantissa))
-    ]
-    weights = [
-        _part(half, w_power + F.lit(_STEP * i), 0, False) for i, half in enumerate(_halves(w_mantissa))
-    ]
-    no_value = v.isNull()
-    endless = F.lit(False)
-    for number in (v, w):
-        as_double = number.cast("double")
-        endless = endless | F.isnan(as_double) | (F.abs(as_double) == F.lit(float("inf")))
-    refused = F.raise_error(F.concat(F.lit("not a finite number: "), v.cast("string"), F.lit(" or "), w.cast("string")))
-    parts = (
-        F.when((no_value | exact) & (w.isNull() | countable), F.array(simple))
-        .when(F.coalesce(endless, F.lit(False)), refused.cast(f"array<struct<{BIN}:int,{PRODUCT}:{_SUM},{WEIGHT}:{_SUM}>>"))
-        .when(w.isNull(), F.array(_struct(F.lit(0), F.lit(None), F.lit(None))))
-        .when(no_value, F.array(*weights))
-        .otherwise(F.array(*products, *weights))
-    )
+    fits = (v.isNull() | exact) & (w.isNull() | countable)
+    # A lambda is not compiled into the stage, so rows that fit pay nothing for it.
+    numbers = F.array(F.struct(v.alias("v"), w.alias("w")))
+    cut = F.flatten(F.transform(numbers, lambda pair: _cut(pair["v"], pair["w"])))
+    parts = F.when(fits, F.array(simple)).otherwise(cut)
     return df.select(*kept, F.inline(parts))
 
 
@@ -163,38 +187,44 @@ def _rounded(bins: Column, sums: str, base: int) -> Column:
     """
     step = F.lit(_HALF).cast("decimal(10,0)")
     zero = F.lit(0).cast(_SUM)
-    held = F.map_from_entries(
-        F.transform(bins, lambda b: F.struct(b[BIN], F.coalesce(b[sums], zero)))
-    )
-    lowest, highest = (f(F.transform(bins, lambda b: b[BIN])) for f in (F.array_min, F.array_max))
 
-    def carried(sign: int) -> Column:
+    def carried(x: Column, sign: Column) -> Column:
         def add(state: Column, bin_: Column) -> Column:
-            own = F.coalesce(F.try_element_at(held, bin_), zero)
-            total = ((own if sign > 0 else -own) + state["carry"]).cast(_SUM)
-            digits = F.pmod(total, step)
-            return F.struct(
-                ((total - digits) / step).cast(_SUM).alias("carry"),
-                F.concat(F.lpad(digits.cast("bigint").cast("string"), _STEP, "0"), state["text"]).alias("text"),
+            own = F.coalesce(F.try_element_at(x["held"], bin_), zero) * sign
+            return _let(
+                (own + state["carry"]).cast(_SUM),
+                lambda total: F.struct(
+                    ((total - F.pmod(total, step)) / step).cast(_SUM).alias("carry"),
+                    F.concat(
+                        F.lpad(F.pmod(total, step).cast("bigint").cast("string"), _STEP, "0"), state["text"]
+                    ).alias("text"),
+                ),
             )
 
         return F.aggregate(
-            F.sequence(lowest, highest + F.lit(5)),
+            F.sequence(x["lowest"], x["highest"] + F.lit(5)),
             F.struct(zero.alias("carry"), F.lit("").alias("text")),
             add,
         )
 
-    power = F.concat(F.lit("E"), (lowest * F.lit(_STEP) - F.lit(base)).cast("string"))
-    up, down = carried(1), carried(-1)
-    general = (
-        F.when(up["carry"] >= 0, F.concat(up["text"], power))
-        .otherwise(F.concat(F.lit("-"), down["text"], power))
-        .cast("double")
+    def number(x: Column) -> Column:
+        power = F.concat(F.lit("E"), (x["lowest"] * F.lit(_STEP) - F.lit(base)).cast("string"))
+        signs = F.array(F.lit(1).cast("decimal(1,0)"), F.lit(-1).cast("decimal(1,0)"))
+        return _let(
+            F.transform(signs, lambda sign: carried(x, sign)),
+            lambda both: F.when(both[0]["carry"] >= 0, F.concat(both[0]["text"], power))
+            .otherwise(F.concat(F.lit("-"), both[1]["text"], power))
+            .cast("double"),
+        )
+
+    # Only bins that hold something; none gives NULL.
+    summed = F.filter(bins, lambda b: b[sums].isNotNull())
+    many = F.struct(
+        F.map_from_entries(F.transform(summed, lambda b: F.struct(b[BIN], b[sums]))).alias("held"),
+        F.array_min(F.transform(summed, lambda b: b[BIN])).alias("lowest"),
+        F.array_max(F.transform(summed, lambda b: b[BIN])).alias("highest"),
     )
-    only = F.get(bins, F.lit(0))
-    alone = F.concat(only[sums].cast("string"), power).cast("double")
-    some = F.exists(bins, lambda b: b[sums].isNotNull())
-    return F.when(F.size(bins) == 1, alone).when(some, general)
+    return F.when(F.size(summed) > 0, _let(many, number))
 
 
 def group_sums(parts: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -206,13 +236,16 @@ def group_sums(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     sums = [F.sum(PRODUCT).alias(PRODUCT), F.sum(WEIGHT).alias(WEIGHT)]
     if BIN not in parts.columns:
         raise ValueError("parts of declared decimals are summed by declared_sums")
+    found = parts.groupBy(*by, BIN).agg(*sums)
     bins = F.collect_list(F.struct(BIN, PRODUCT, WEIGHT)).alias("_bins")
-    found = parts.groupBy(*by, BIN).agg(*sums).groupBy(*by).agg(bins)
-    return found.select(
-        *by,
-        _rounded(F.col("_bins"), PRODUCT, SCALE).alias(PRODUCT),
-        _rounded(F.col("_bins"), WEIGHT, 0).alias(WEIGHT),
-    )
+    found = found.groupBy(*by).agg(bins)
+    alone = (F.size("_bins") == 1) & (F.col("_bins")[0][BIN] == 0)
+
+    def total(sums: str, base: int) -> Column:
+        only = F.concat(F.col("_bins")[0][sums].cast("string"), F.lit(f"E-{base}")).cast("double")
+        return F.when(alone, only).otherwise(_rounded(F.col("_bins"), sums, base)).alias(sums)
+
+    return found.select(*by, total(PRODUCT, SCALE), total(WEIGHT, 0))
 
 
 def declared_sums(parts: DataFrame, by: Sequence[str], scale: int) -> DataFrame:

@@ -59,8 +59,9 @@ from facetrank.workload.inputs import bucket_count, inputs, source
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values of the order tables that stand for the ones of the reports.
-STAGED = replace(plans.STAGED, title_type="F", min_year=1998, excluded_genre="PROMO")
-EXACT = replace(plans.EXACT, title_type="F", min_year=1998)
+# Ratings have one decimal and votes are whole.
+STAGED = replace(plans.STAGED, title_type="F", min_year=1998, excluded_genre="PROMO", scale=6)
+EXACT = replace(plans.EXACT, title_type="F", min_year=1998, scale=6)
 
 GROUP = ["country", "genre"]
 TRIPLE = [*GROUP, "director"]

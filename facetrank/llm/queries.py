@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetrank.llm import (
+    convrepair,
     decontaminate,
     exactdup,
     hpylm,
@@ -18,11 +19,14 @@ from facetrank.llm import (
     lines,
     mixing,
     neardup,
+    packing,
+    prefixtrie,
     quality,
     tokencount,
     tokenfile,
 )
-from facetrank.llm.common import table
+from facetrank.llm.common import stored, table
+from facetrank.llm.sequences import crc32_of, joined_sha256
 from facetrank.session import scratch_path
 
 
@@ -102,6 +106,112 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: Conversations share templates in blocks of so many ids, and at most so many turns.
+TEMPLATES, SHARED_TURNS = 100, 6
+
+
+def rebuilt_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations whose first turns come from the first one of their block.
+
+    Takes numbered turns; gives the ids and the turns of the rebuilt conversations.
+    """
+    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    shared = F.pmod(crc32_of(F.col("conv_id").cast("string")), F.lit(SHARED_TURNS))
+    ids = stored(
+        sizes.select("conv_id", (F.col("conv_id") - F.col("conv_id") % TEMPLATES).alias("template"), shared.alias("h"))
+        .join(sizes.select(F.col("conv_id").alias("template"), F.col("n").alias("offered")), "template", "left")
+        .select("conv_id", "template", "h", F.least("h", F.coalesce("offered", F.lit(0))).alias("taken")),
+        "rebuilt_ids",
+    )
+    first = turns.where(F.col("place") < SHARED_TURNS).withColumnRenamed("conv_id", "template")
+    taken = ids.join(first, "template").where("place <= h").select("conv_id", "place", "name", "tokens")
+    own = turns.join(ids, "conv_id").where("place > h").select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("taken")).alias("place"), "name", "tokens"
+    )
+    return ids.select("conv_id"), stored(taken.unionByName(own), "rebuilt_turns")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.named_turns(table(spark, sf_dir, "conversations"))
+    return prefixtrie.trie(*rebuilt_turns(turns))
+
+
+def packed_digests(docs: DataFrame, definition: str) -> DataFrame:
+    """Pieces and their places, with a digest for the ids."""
+    pieces = packing.pieces_of(docs, definition)
+    columns = {
+        "doc_id": F.col("doc_id"),
+        "start": F.col("start"),
+        "doc_tokens": F.col("doc_tokens"),
+        "ids_crc32": F.crc32("ids"),
+    }
+    return packing.place(pieces, columns).select(
+        "doc_id",
+        "start",
+        F.col("length").cast("bigint").alias("length"),
+        "ids_crc32",
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op12_pack(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    definition = Path(vocabulary or public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
+    return packed_digests(table(spark, sf_dir, "documents"), definition)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversation rows with planted faults, chosen by conversation and turn."""
+    key = F.concat_ws(
+        ":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    )
+    kind = F.pmod(crc32_of(key), F.lit(20))
+    text = F.coalesce("text", F.lit(" "))
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(kind == 3, 2).otherwise(1).alias("copies"),
+        kind.alias("kind"),
+    )
+    return rows.where("kind != 0").drop("kind")
+
+
+def repair_digests(conversations: DataFrame, chunk: int = convrepair.CHUNK) -> DataFrame:
+    """What the repair of the damaged rows did, for each conversation there is."""
+    rows = damaged(conversations)
+    repaired, report = convrepair.repair(rows, chunk)
+    sums = joined_sha256(
+        repaired.select(
+            "conv_id", "task", "nth", "place", F.concat_ws(":", "role", "text").alias("line")
+        ),
+        ["conv_id"],
+        [F.col("task"), F.col("nth"), F.col("place")],
+        F.col("line"),
+        b"\n",
+    )
+    every = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    told = report.withColumnRenamed("conv_id", "_told")
+    hashed = sums.withColumnRenamed("conv_id", "_hashed")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (
+        every.join(told, F.col("conv_id").eqNullSafe(F.col("_told")), "left")
+        .join(hashed, F.col("conv_id").eqNullSafe(F.col("_hashed")), "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digests(table(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scores": op1_lm_scores,
@@ -114,4 +224,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_pack": op12_pack,
+        "op13_structure_repair": op13_structure_repair,
     }

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import itertools
+import random
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tokenizers
+
+from facetrank.llm import packing
+from facetrank.llm.queries import packed_digests
+from tests.llm.fixtures import documents, odd_texts, prose, tuples
+
+DEFINITION = Path(public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
+
+
+def best_padding(first, lengths, capacity):
+    """Least padding of any choice of ``lengths`` beside ``first``."""
+    totals = {first}
+    for n in range(1, len(lengths) + 1):
+        totals |= {first + sum(c) for c in itertools.combinations(lengths, n)}
+    return min(packing.padding(t, capacity) for t in totals if t <= capacity)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_every_window_has_the_least_padding_there_is(seed):
+    rng = random.Random(seed)
+    lengths = [rng.randint(1, 60) for _ in range(11)]
+    left = Counter(lengths)
+    for pattern in packing.plan(left, 100):
+        for _ in range(pattern.times):
+            first = max(pattern.uses)
+            others = left - Counter({first: 1})
+            total = sum(k * n for k, n in pattern.uses.items())
+            assert packing.padding(total, 100) == best_padding(first, list(others.elements()), 100)
+            left -= Counter(pattern.uses)
+    assert not left
+
+
+def test_plan_uses_each_length_as_often_as_it_is_there():
+    rng = random.Random(2)
+    counts = Counter(min(4096, 1 + int(rng.expovariate(1 / 400))) for _ in range(30_000))
+    counts[517] = 20_000  # one length holds much of all
+    patterns = packing.plan(counts)
+    used = Counter()
+    padded = total = 0
+    for uses, times in patterns:
+        size = sum(k * n for k, n in uses.items())
+        assert size <= 4096
+        padded += packing.padding(size) * times
+        total += size * times
+        used.update({k: n * times for k, n in uses.items()})
+    assert used == counts
+    assert padded <= total / 1000
+    assert packing.plan({}) == []
+
+
+def whole_ids(rows):
+    tokenizer = tokenizers.Tokenizer.from_str(DEFINITION)
+    return [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows]
+
+
+def test_every_id_is_in_one_piece_and_windows_are_full(spark):
+    rng = random.Random(4)
+    rows = odd_texts() + [(100 + i, prose(rng, rng.randint(1, 900))) for i in range(300)]
+    rows += [(1000 + i, "of one length") for i in range(150)]
+    got = packing.pack(documents(spark, rows, clashing=True).repartition(5), DEFINITION).collect()
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in got:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length
+        pieces[(r.doc_id, r.doc_tokens)].append((r.start, tuple(ids)))
+        windows[r.sequence_id].append((r.offset, r.length))
+    # Rows that repeat an id have pieces of the same places.
+    expected = defaultdict(list)
+    for doc_id, ids in whole_ids(rows):
+        for at in range(0, len(ids), 4096):
+            expected[(doc_id, len(ids))].append((at, tuple(ids[at : at + 4096])))
+    assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in expected.items()}
+    assert sorted(windows) == list(range(len(windows)))
+    total = padded = 0
+    for own in windows.values():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        assert end <= 4096
+        total, padded = total + end, padded + packing.padding(end)
+    assert padded <= 4096 and len(windows) <= total / 4096 + 3
+
+
+def test_digests(spark):
+    rows = odd_texts()
+    got = packed_digests(documents(spark, rows), DEFINITION)
+    expected = []
+    for doc_id, ids in whole_ids(rows):
+        for at in range(0, len(ids), 4096):
+            own = ids[at : at + 4096]
+            expected.append((doc_id, at, len(own), zlib.crc32(np.array(own, "<u4").tobytes()), len(ids)))
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert tuples(got, *columns) == sorted(expected, key=repr)
+    assert set(got.columns) == {*columns, "sequence_id", "offset"}
+    assert {f.dataType.simpleString() for f in got.schema} == {"bigint"}
+
+
+def test_empty_table(spark):
+    assert packed_digests(documents(spark, []), DEFINITION).count() == 0

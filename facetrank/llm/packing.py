@@ -9,7 +9,9 @@ fills its window closest to capacity. A bitset (bit n: a sum of n can be reached
 shifted by each length, in powers of two of its count; the first bit at capacity
 ends the search, and walking back through the bitsets gives how often each length
 is used. The pattern is repeated as often as the counts allow, so every pattern uses
-up a length or nearly so.
+up a length or nearly so. Where no choice fills the window, the slack is cut from the
+longest piece left, whose rest is a length like any other. So all windows are full
+but the last, which may be padded.
 
 Each piece is then placed by the number it has among the pieces of its length.
 """
@@ -35,10 +37,15 @@ _DOCS_AT_ONCE = 256
 
 
 class Pattern(NamedTuple):
-    """A filled window: ``uses`` pieces of each length, ``times`` windows like this."""
+    """A filled window: ``uses`` pieces of each length, ``times`` windows like this.
+
+    With ``cut`` the window ends with that many ids of a piece of length ``cut_from``.
+    """
 
     uses: dict[int, int]
     times: int
+    cut_from: int = 0
+    cut: int = 0
 
 
 def padding(total: int, capacity: int = CAPACITY) -> int:
@@ -92,12 +99,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
         others = dict(left)
         others[first] -= 1
         uses = _fill(first, {k: n for k, n in others.items() if n}, capacity)
-        times = min(left[length] // used for length, used in uses.items())
-        patterns.append(Pattern(uses, times))
-        for length, used in uses.items():
+        slack = padding(sum(length * used for length, used in uses.items()), capacity)
+        # Any piece that is left is longer than the slack: a shorter one would be used.
+        spare = [k for k, n in left.items() if n > uses.get(k, 0)] if slack else []
+        cut_from, cut = (max(spare), slack) if spare else (0, 0)
+        needs = dict(uses)
+        if cut:
+            needs[cut_from] = needs.get(cut_from, 0) + 1
+        times = min(left[length] // used for length, used in needs.items())
+        patterns.append(Pattern(uses, times, cut_from, cut))
+        for length, used in needs.items():
             left[length] -= used * times
             if not left[length]:
                 del left[length]
+        if cut:
+            left[cut_from - cut] = left.get(cut_from - cut, 0) + times
     return patterns
 
 
@@ -134,44 +150,75 @@ def _cutter(definition, capacity: int):
 
 
 class _Places(NamedTuple):
-    """The plan, by length: numbers from ``first`` on go to ``windows`` from ``window`` on."""
+    """The plan, by length: numbers from ``first`` on go to windows from ``window`` on.
+
+    With ``cut`` only so many ids do; the rests are numbered from ``tail`` on.
+    """
 
     first: np.ndarray
     uses: np.ndarray
     window: np.ndarray
     offset: np.ndarray
+    cut: np.ndarray
+    tail: np.ndarray
 
 
-def _places(patterns: list[Pattern]) -> dict[int, _Places]:
+def _places(patterns: list[Pattern], counts: dict[int, int]) -> dict[int, _Places]:
     rows, taken, window = defaultdict(list), defaultdict(int), 0
+    known = defaultdict(int, counts)
     for pattern in patterns:
         offset = 0
         for length in sorted(pattern.uses, reverse=True):
             used = pattern.uses[length]
-            rows[length].append((taken[length], used, window, offset))
+            rows[length].append((taken[length], used, window, offset, 0, 0))
             taken[length] += used * pattern.times
             offset += used * length
+        if pattern.cut:
+            length, rest = pattern.cut_from, pattern.cut_from - pattern.cut
+            rows[length].append((taken[length], 1, window, offset, pattern.cut, known[rest]))
+            taken[length] += pattern.times
+            known[rest] += pattern.times
         window += pattern.times
     return {k: _Places(*np.array(v, np.int64).T) for k, v in rows.items()}
 
 
+def _parts(places: dict[int, _Places], length: np.ndarray, number: np.ndarray) -> list[np.ndarray]:
+    """Row, start in its piece, length, window and offset of every part."""
+    row, start = np.arange(len(length)), np.zeros(len(length), np.int64)
+    found = []
+    while len(row):
+        rests = []
+        for kind in np.unique(length):
+            at = np.flatnonzero(length == kind)
+            own = places[int(kind)]
+            segment = np.searchsorted(own.first, number[at], "right") - 1
+            nth = number[at] - own.first[segment]
+            cut = own.cut[segment]
+            found.append(
+                (
+                    row[at],
+                    start[at],
+                    np.where(cut > 0, cut, kind),
+                    own.window[segment] + nth // own.uses[segment],
+                    own.offset[segment] + nth % own.uses[segment] * int(kind),
+                )
+            )
+            on = cut > 0
+            rests.append((row[at][on], (start[at] + cut)[on], (kind - cut)[on], (own.tail[segment] + nth)[on]))
+        row, start, length, number = (np.concatenate(c) for c in zip(*rests, strict=True))
+    return [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
+
+
 def _placer(shared):
     def run(batches):
         for batch in batches:
-            length = np.array(batch.column("length"))
-            number = np.array(batch.column("number"))
-            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            for kind in np.unique(length):
-                at = np.flatnonzero(length == kind)
-                own = shared.value[int(kind)]
-                segment = np.searchsorted(own.first, number[at], "right") - 1
-                inside = number[at] - own.first[segment]
-                sequence[at] = own.window[segment] + inside // own.uses[segment]
-                offset[at] = own.offset[segment] + inside % own.uses[segment] * int(kind)
-            kept = [c for c in batch.schema.names if c != "number"]
+            size = np.array(batch.column("size")).astype(np.int64)
+            row, start, length, window, offset = _parts(shared.value, size, np.array(batch.column("number")))
+            order = np.lexsort((start, row))
+            columns = [batch.column(c).take(pa.array(row[order])) for c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(sequence), pa.array(offset)],
-                [*kept, "sequence_id", "offset"],
+                [*columns, *(pa.array(x[order]) for x in (start, length, window, offset))],
+                [*batch.schema.names, "within", "length", "sequence_id", "offset"],
             )
 
     return run
@@ -190,45 +237,76 @@ def pieces_of(docs: DataFrame, definition: str, capacity: int = CAPACITY) -> Dat
     return stored(in_arrow(source, _cutter(shared, capacity), _PIECES), "pieces")
 
 
-def place(pieces: DataFrame, columns: dict, capacity: int = CAPACITY) -> DataFrame:
-    """``sequence_id`` and ``offset`` for each of the ``pieces``.
+def place(pieces: DataFrame, columns: list[str], capacity: int = CAPACITY) -> DataFrame:
+    """Where each part of the ``pieces`` stands: a row per part.
 
-    ``columns`` maps names of the result to columns of the pieces; only those move.
-    The driver sees the counts of lengths, at most ``capacity`` rows; the plan that
-    is broadcast is bounded by the capacity as well. Sequences are numbered from 0
-    without gaps.
+    ``task``, ``nth`` and ``size`` name the piece; ``within`` and ``length`` are the
+    part's place in it. Of the other columns only ``columns`` move. The driver sees
+    the counts of lengths, at most ``capacity`` rows, and broadcasts the plan, which
+    is made of them alone. Sequences are numbered from 0 without gaps.
     """
-    per_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
+    per_task = pieces.groupBy("task", F.col("length").alias("size")).agg(F.count("*").alias("n"))
     # A row per task and length; a length of very many pieces has one row per task.
-    before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("size").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     counts = stored(
-        per_task.select(
-            "task", "length", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
-        ),
+        per_task.select("task", "size", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")),
         "length_counts",
     )
-    histogram = {
-        r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()
-    }
-    shared = pieces.sparkSession.sparkContext.broadcast(_places(plan(histogram, capacity)))
-    light = pieces.select("task", "nth", F.col("length").alias("_length"), *[c.alias(n) for n, c in columns.items()])
-    own = counts.select("task", F.col("length").alias("_length"), "before")
-    numbered = light.join(own, ["task", "_length"]).select(
-        *columns, F.col("_length").alias("_l"), (F.col("before") + F.col("nth")).alias("number")
+    histogram = {r.size_: r.n for r in counts.groupBy(F.col("size").alias("size_")).agg(F.sum("n").alias("n")).collect()}
+    places = _places(plan(histogram, capacity), histogram)
+    shared = pieces.sparkSession.sparkContext.broadcast(places)
+    light = pieces.select("task", "nth", F.col("length").alias("size"), *columns)
+    numbered = light.join(counts.drop("n"), ["task", "size"]).select(
+        "task", "nth", "size", *columns, (F.col("before") + F.col("nth")).alias("number")
     )
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.drop("number", "_l").schema)
-    named = numbered.select(*columns, F.col("_l").alias("length"), "number")
-    return in_arrow(named, _placer(shared), f"{kinds}, length int, sequence_id bigint, offset bigint")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
+    return in_arrow(
+        numbered, _placer(shared), f"{kinds}, within bigint, length bigint, sequence_id bigint, offset bigint"
+    ).drop("number")
 
 
 def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY) -> DataFrame:
     """Every piece of ``docs`` with its ids and its place in a sequence.
 
-    ``(doc_id, start, doc_tokens, ids, length, sequence_id, offset)``. A text is
+    ``(doc_id, start, length, doc_tokens, ids, sequence_id, offset)``. A text is
     encoded whole and ends with id 2; null and empty texts are the end id alone.
-    Only documents longer than the capacity are cut. Rows that repeat a doc_id, or
-    have none, are packed like any other. An empty table gives no rows. Other
-    columns are ignored.
+    Rows that repeat a doc_id, or have none, are packed like any other. An empty
+    table gives no rows. Other columns are ignored.
     """
     pieces = pieces_of(docs, definition, capacity)
-    return place(pieces, {c: F.col(c) for c in ("doc_id", "start", "doc_tokens", "ids")}, capacity)
+    placed = place(pieces, ["doc_id", "start", "doc_tokens", "ids"], capacity)
+    return placed.select(
+        "doc_id",
+        (F.col("start") + F.col("within")).alias("start"),
+        "length",
+        "doc_tokens",
+        _slice(F.col("ids")).alias("ids"),
+        "sequence_id",
+        "offset",
+    )
+
+
+def _slice(ids):
+    return F.substring(ids, (4 * F.col("within") + 1).cast("int"), (4 * F.col("length")).cast("int"))
+
+
+def pack_digests(docs: DataFrame, definition: str, capacity: int = CAPACITY) -> DataFrame:
+    """As :func:`pack`, with a crc32 of the ids in their stead.
+
+    Whole pieces are digested where they lie; only ids of pieces that are cut move.
+    """
+    pieces = pieces_of(docs, definition, capacity).withColumn("ids_crc32", F.crc32("ids"))
+    placed = stored(place(pieces, ["doc_id", "start", "doc_tokens", "ids_crc32"], capacity), "parts")
+    whole = placed.where("length = size")
+    held = pieces.select("task", "nth", F.col("length").alias("size"), "ids")
+    cut = placed.where("length < size").join(held, ["task", "nth", "size"])
+    cut = cut.withColumn("ids_crc32", F.crc32(_slice(F.col("ids")))).select(*whole.columns)
+    return whole.unionByName(cut).select(
+        "doc_id",
+        (F.col("start") + F.col("within")).alias("start"),
+        "length",
+        "ids_crc32",
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )

@@ -136,29 +136,9 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.trie(*rebuilt_turns(turns))
 
 
-def packed_digests(docs: DataFrame, definition: str) -> DataFrame:
-    """Pieces and their places, with a digest for the ids."""
-    pieces = packing.pieces_of(docs, definition)
-    columns = {
-        "doc_id": F.col("doc_id"),
-        "start": F.col("start"),
-        "doc_tokens": F.col("doc_tokens"),
-        "ids_crc32": F.crc32("ids"),
-    }
-    return packing.place(pieces, columns).select(
-        "doc_id",
-        "start",
-        F.col("length").cast("bigint").alias("length"),
-        "ids_crc32",
-        "doc_tokens",
-        "sequence_id",
-        "offset",
-    )
-
-
 def op12_pack(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     definition = Path(vocabulary or public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
-    return packed_digests(table(spark, sf_dir, "documents"), definition)
+    return packing.pack_digests(table(spark, sf_dir, "documents"), definition)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:

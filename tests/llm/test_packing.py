@@ -12,7 +12,6 @@ import pytest
 import tokenizers
 
 from facetrank.llm import packing
-from facetrank.llm.queries import packed_digests
 from tests.llm.fixtures import documents, odd_texts, prose, tuples
 
 DEFINITION = Path(public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
@@ -36,8 +35,13 @@ def test_every_window_has_the_least_padding_there_is(seed):
             first = max(pattern.uses)
             others = left - Counter({first: 1})
             total = sum(k * n for k, n in pattern.uses.items())
-            assert packing.padding(total, 100) == best_padding(first, list(others.elements()), 100)
+            least = best_padding(first, list(others.elements()), 100)
+            assert packing.padding(total, 100) == least
             left -= Counter(pattern.uses)
+            if left and least:  # what is missing is cut from another piece
+                assert pattern.cut == least
+                left -= Counter([pattern.cut_from])
+                left[pattern.cut_from - least] += 1
     assert not left
 
 
@@ -45,17 +49,25 @@ def test_plan_uses_each_length_as_often_as_it_is_there():
     rng = random.Random(2)
     counts = Counter(min(4096, 1 + int(rng.expovariate(1 / 400))) for _ in range(30_000))
     counts[517] = 20_000  # one length holds much of all
-    patterns = packing.plan(counts)
     used = Counter()
-    padded = total = 0
-    for uses, times in patterns:
-        size = sum(k * n for k, n in uses.items())
-        assert size <= 4096
-        padded += packing.padding(size) * times
-        total += size * times
-        used.update({k: n * times for k, n in uses.items()})
+    patterns = packing.plan(counts)
+    for n, pattern in enumerate(patterns):
+        size = sum(k * n for k, n in pattern.uses.items()) + pattern.cut
+        assert size == 4096 or packing.padding(size) == 0 or n == len(patterns) - 1
+        used.update({k: n * pattern.times for k, n in pattern.uses.items()})
+        if pattern.cut:
+            used[pattern.cut_from] += pattern.times
+            counts[pattern.cut_from - pattern.cut] += pattern.times
     assert used == counts
-    assert padded <= total / 1000
+
+
+@pytest.mark.parametrize("length, n", [(3000, 1_000_000), (4095, 77_777), (1, 10_000), (2731, 999)])
+def test_one_length_alone_is_cut_to_full_windows(length, n):
+    patterns = packing.plan({length: n})
+    sizes = [(sum(k * u for k, u in p.uses.items()) + p.cut, p.times) for p in patterns]
+    assert sum(size * times for size, times in sizes) == length * n
+    assert sum(packing.padding(size) * times for size, times in sizes) < 4096
+    assert len(patterns) < 5000
     assert packing.plan({}) == []
 
 
@@ -75,12 +87,22 @@ def test_every_id_is_in_one_piece_and_windows_are_full(spark):
         assert len(ids) == r.length
         pieces[(r.doc_id, r.doc_tokens)].append((r.start, tuple(ids)))
         windows[r.sequence_id].append((r.offset, r.length))
-    # Rows that repeat an id have pieces of the same places.
     expected = defaultdict(list)
     for doc_id, ids in whole_ids(rows):
-        for at in range(0, len(ids), 4096):
-            expected[(doc_id, len(ids))].append((at, tuple(ids[at : at + 4096])))
-    assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in expected.items()}
+        expected[(doc_id, len(ids))].append(tuple(ids))
+    whole_by_key = {k: list(v) for k, v in expected.items()}
+    for key, parts in pieces.items():
+        # Rows that repeat an id and a length repeat each place, unless they are cut apart.
+        held = defaultdict(list)
+        for start, ids in parts:
+            held[start].append(ids)
+        joined = Counter(x for ids in expected.pop(key) for x in ids)
+        assert Counter(x for own in held.values() for ids in own for x in ids) == joined
+        if len(parts) == len(held):
+            whole = [x for start in sorted(held) for x in held[start][0]]
+            assert sum(len(own[0]) for own in held.values()) == key[1]
+            assert [start for start in sorted(held)][0] == 0 and tuple(whole) in set(whole_by_key[key])
+    assert not expected
     assert sorted(windows) == list(range(len(windows)))
     total = padded = 0
     for own in windows.values():
@@ -90,22 +112,29 @@ def test_every_id_is_in_one_piece_and_windows_are_full(spark):
             end += length
         assert end <= 4096
         total, padded = total + end, padded + packing.padding(end)
-    assert padded <= 4096 and len(windows) <= total / 4096 + 3
+    assert padded < 4096
 
 
-def test_digests(spark):
-    rows = odd_texts()
-    got = packed_digests(documents(spark, rows), DEFINITION)
-    expected = []
+def test_digests_are_those_of_the_parts(spark):
+    rows = odd_texts() + [(300 + i, "twice the same length " * 150) for i in range(40)]
+    own = {}
     for doc_id, ids in whole_ids(rows):
-        for at in range(0, len(ids), 4096):
-            own = ids[at : at + 4096]
-            expected.append((doc_id, at, len(own), zlib.crc32(np.array(own, "<u4").tobytes()), len(ids)))
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    assert tuples(got, *columns) == sorted(expected, key=repr)
-    assert set(got.columns) == {*columns, "sequence_id", "offset"}
+        own.setdefault((doc_id, len(ids)), []).append(ids)
+    got = packing.pack_digests(documents(spark, rows).repartition(3), DEFINITION)
+    assert set(got.columns) == {
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    }
     assert {f.dataType.simpleString() for f in got.schema} == {"bigint"}
+    parts = got.collect()
+    assert sum(r.length for r in parts) == sum(len(ids) for _, ids in whole_ids(rows))
+    assert any(r.length < min(r.doc_tokens, 4096) for r in parts)  # some are cut
+    for r in parts:
+        sums = [
+            zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+            for ids in own[(r.doc_id, r.doc_tokens)]
+        ]
+        assert r.ids_crc32 in sums
 
 
 def test_empty_table(spark):
-    assert packed_digests(documents(spark, []), DEFINITION).count() == 0
+    assert packing.pack_digests(documents(spark, []), DEFINITION).count() == 0

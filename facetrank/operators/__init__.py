@@ -3,7 +3,7 @@
 from facetrank.operators.explode import explode_facets, tokenize_facets
 from facetrank.operators.filters import drop_missing, keep_filled, without_values
 from facetrank.operators.gather import collect_sorted, distinct_values, group_max
-from facetrank.operators.joins import look_up, star_join
+from facetrank.operators.joins import look_up, new_rows, star_join
 from facetrank.operators.ranking import (
     argmax_ties,
     one_row_per_key,
@@ -23,6 +23,7 @@ __all__ = [
     "group_max",
     "keep_filled",
     "look_up",
+    "new_rows",
     "one_row_per_key",
     "rank_large_groups",
     "rank_within",

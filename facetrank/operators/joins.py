@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -38,3 +39,10 @@ def look_up(
         F.col(right_key).alias("_found"), *[F.col(c).alias(name) for c, name in take.items()]
     )
     return df.join(found, F.col(left_key) == F.col("_found"), how).drop("_found")
+
+
+def new_rows(df: DataFrame, known: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``known``; NULL keys equal each other."""
+    own = known.select(*[F.col(k).alias(f"_known_{k}") for k in key]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in key]
+    return df.join(own, same, "left_anti")

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from facetrank.operators.gather import group_max
 
 ROWS_PER_RANGE = 1_000_000
+# Narrow ranges per wide one. A group of 10**12 values has about as many wide ranges.
+FAN_OUT = 1_000
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> list[Column]:
@@ -98,6 +100,44 @@ def rank_large_groups(
     return _ranked(df, by, value, rows_per_range).withColumnsRenamed(names)
 
 
+def _above(cuts: Column, value: Column) -> Column:
+    """How many of the ascending ``cuts`` are greater than ``value``, by halving."""
+    steps = F.ceil(F.log2(F.size(cuts) + F.lit(1.0))).cast("int")
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["low"] + state["high"], 1)
+        on = F.get(cuts, middle) <= value
+        open_ = state["low"] < state["high"]
+        return F.struct(
+            F.when(open_ & on, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(open_ & ~on, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), steps), start, halve, lambda state: state["low"])
+    return F.size(cuts) - found
+
+
+def _cut(values: DataFrame, keys: list[str], name: str, every: int) -> DataFrame:
+    """Adds the number of the range a value falls into, from the highest down.
+
+    Ranges are those between the values of the same ``keys`` whose hash is a multiple
+    of ``every``. Cuts join as one sorted array per key, which only this step holds.
+    """
+    # -0.0 and 0.0 are one value and must have one hash.
+    chosen = F.pmod(F.xxhash64(F.col("_value") + F.lit(0)), F.lit(every)) == 0
+    cut_keys = [f"_cut{k}" for k in keys]
+    cuts = (
+        values.where(F.col("_value").isNotNull() & chosen)
+        .groupBy(*[F.col(k).alias(c) for k, c in zip(keys, cut_keys, strict=True)])
+        .agg(F.sort_array(F.collect_list("_value")).alias("_cuts"))
+    )
+    above = F.when(F.col("_cuts").isNotNull(), _above(F.col("_cuts"), F.col("_value")))
+    return values.join(cuts, _same(keys, cut_keys), "left").select(
+        *values.columns, F.coalesce(above, F.lit(0)).cast("bigint").alias(name)
+    )
+
+
 def _ranked(df: DataFrame, by: Sequence[str], value: str, rows_per_range: int) -> DataFrame:
     keys = [f"_{c}" for c in by]
     values = (
@@ -109,20 +149,16 @@ def _ranked(df: DataFrame, by: Sequence[str], value: str, rows_per_range: int) -
             "_rows",
         )
     )
-    # -0.0 and 0.0 are one value and must have one hash.
-    chosen = F.pmod(F.xxhash64(F.col("_value") + F.lit(0)), F.lit(rows_per_range)) == 0
-    cut_keys = [f"_cut{k}" for k in keys]
-    cuts = (
-        values.where(F.col("_value").isNotNull() & chosen)
-        .groupBy(*[F.col(k).alias(c) for k, c in zip(keys, cut_keys, strict=True)])
-        .agg(F.collect_list("_value").alias("_cuts"))
-    )
-    higher = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda cut: cut > F.col("_value")))
-    placed = values.join(cuts, _same(keys, cut_keys), "left").select(
+    # Few cuts part a group into wide ranges; the cuts within a wide range part it
+    # again. So no value looks through more than about FAN_OUT cuts, by halving.
+    wide = _cut(values, keys, "_wide", rows_per_range * FAN_OUT)
+    narrow = _cut(wide, [*keys, "_wide"], "_narrow", rows_per_range)
+    none = F.lit(None).cast("struct<_wide:bigint,_narrow:bigint>")
+    placed = narrow.select(
         *keys,
         "_value",
         "_rows",
-        F.when(F.col("_value").isNull(), F.lit(None).cast("int")).otherwise(higher).alias("_range"),
+        F.when(F.col("_value").isNull(), none).otherwise(F.struct("_wide", "_narrow")).alias("_range"),
     )
     # A row per range.
     before = (

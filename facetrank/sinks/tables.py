@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from facetrank.operators import new_rows, one_row_per_key
 from facetrank.session import scratch_path
 
 BUCKET_BYTES = 256 << 20
@@ -46,14 +48,14 @@ def _versions_root(spark: SparkSession, table: str, database: str | None, path:
     return f"{spark.catalog.getDatabase(owner).locationUri.rstrip('/')}/{table}.versions"
 
 
-def _folder(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """A path and its file system, as Hadoop's interface gives them."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    folder, files = _folder(spark, path)
+    folder, files = hadoop_path(spark, path)
     return files.getContentSummary(folder).getLength()
 
 
@@ -158,7 +160,7 @@ def clean_versions(
     ``older_than`` (seconds since a version was written) has to outlast the
     longest job that may still read one.
     """
-    folder, files = _folder(spark, _versions_root(spark, table, database, path))
+    folder, files = hadoop_path(spark, _versions_root(spark, table, database, path))
     if not files.exists(folder):
         return 0
     current = spark._jvm.org.apache.hadoop.fs.Path(_facts(spark, qualified(table, database))["Location"])
@@ -174,7 +176,7 @@ def drop_table(
     spark: SparkSession, table: str, database: str | None = None, path: str | None = None
 ) -> None:
     """Drop a table and delete all its versions."""
-    folder, files = _folder(spark, _versions_root(spark, table, database, path))
+    folder, files = hadoop_path(spark, _versions_root(spark, table, database, path))
     spark.sql(f"DROP TABLE IF EXISTS {qualified(table, database)}")
     files.delete(folder, True)
 
@@ -215,6 +217,28 @@ def append_rows(
     return spark.table(name)
 
 
+def merge_rows(
+    df: DataFrame,
+    table: str,
+    key: Sequence[str],
+    prefer: Sequence[Column],
+    database: str | None = None,
+    path: str | None = None,
+) -> DataFrame:
+    """Add the rows whose key the table does not have yet; one row per key.
+
+    Of several new rows of a key the first by ``prefer`` is added; a key that is there
+    keeps its row. So the table has one row per key, readers need no rank, and rows
+    that are given twice add nothing.
+    """
+    spark = df.sparkSession
+    name = _use(spark, table, database)
+    fresh = one_row_per_key(df, key, prefer)
+    if spark.catalog.tableExists(name):
+        fresh = new_rows(fresh, spark.table(name), key)
+    return append_rows(fresh, table, database, path)
+
+
 def replace_view(df: DataFrame, name: str) -> DataFrame:
     """Create a session view or replace the one of that name."""
     df.createOrReplaceTempView(name)

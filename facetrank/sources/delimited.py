@@ -56,36 +56,42 @@ def read_delimited(
     by_line = [typed(F.get(fields, F.lit(i)), f).alias(f.name) for i, f in enumerate(schema)]
     if not (header or quoted):
         return lines.select(*by_line)
-    # The CSV reader knows headers and quotes, but drops blank lines.
     raw_schema = StructType(
         [StructField(f.name, StringType(), True) for f in schema]
         + [StructField(_BAD_LINE, StringType(), True)]
     )
-    reader = (
-        spark.read.schema(raw_schema)
-        .option("sep", sep)
-        .option("header", header)
-        .option("lineSep", "\n")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD_LINE)
-        .option("nullValue", _NO_MARKER)
-        # Short lines are only found if all fields are looked for.
-        .option("columnPruning", False)
-    )
-    reader = (
-        reader.option("quote", '"').option("escape", '"')
-        if quoted
-        else reader.option("quote", "").option("escape", "")
-    )
-    # The reader gives NULL for an empty field; only a short line lacks fields.
-    outside = F.regexp_replace(_BAD_LINE, '"([^"]|"")*"', "") if quoted else F.col(_BAD_LINE)
-    n_fields = F.size(F.split(outside, re.escape(sep)))
+    options = {
+        "sep": sep,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _BAD_LINE,
+        "nullValue": _NO_MARKER,
+        "quote": '"' if quoted else "",
+        "escape": '"' if quoted else "",
+    }
 
-    def present(position: int, field: StructField) -> Column:
-        absent = F.col(_BAD_LINE).isNotNull() & (n_fields <= position)
-        return typed(F.when(~absent, F.coalesce(F.col(field.name), F.lit(""))), field)
+    # The parser gives NULL for an empty field; only a short line lacks fields.
+    def filled(row: Column) -> list[Column]:
+        bad = row[_BAD_LINE]
+        outside = F.regexp_replace(bad, '"([^"]|"")*"', "") if quoted else bad
+        n_fields = F.size(F.split(outside, re.escape(sep)))
+        found = []
+        for i, field in enumerate(schema):
+            absent = bad.isNotNull() & (n_fields <= i)
+            present = F.when(~absent, F.coalesce(row[field.name], F.lit("")))
+            found.append(typed(present, field).alias(field.name))
+        return found
 
-    filled = reader.csv(path).select(
-        *[present(i, field).alias(field.name) for i, field in enumerate(schema)]
-    )
-    return filled.unionByName(lines.where(F.col("value").rlike(_BLANK)).select(*by_line))
+    if not header:
+        # Each line by itself, from one scan. All fields of a line are looked at, as
+        # short lines are not found otherwise; within a lambda none is pruned.
+        parsed = F.from_csv("value", F.lit(raw_schema.toDDL()), options)
+        row = F.get(F.transform(F.array(parsed), lambda row: F.struct(*filled(row))), F.lit(0))
+        blank = F.struct(*by_line)
+        line = F.when(F.col("value").rlike(_BLANK), blank).otherwise(row)
+        return lines.select(line.alias("_line")).select("_line.*")
+    # The CSV reader knows headers, but drops blank lines.
+    reader = spark.read.schema(raw_schema).options(**options)
+    reader = reader.option("header", True).option("lineSep", "\n").option("columnPruning", False)
+    raw = reader.csv(path)
+    whole = raw.select(F.struct(*raw.columns).alias("row")).select(*filled(F.col("row")))
+    return whole.unionByName(lines.where(F.col("value").rlike(_BLANK)).select(*by_line))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetrank.functions.cells import (
-    json_field,
     missing_words_to_null,
     split_items,
     strip_quotes,
@@ -29,16 +28,20 @@ def countries_from_responses(
     ``rejected``, keeps its key and body as they are and has no country; other
     rows have no body.
     """
-    own, text = F.col(key).cast("string"), F.col(body)
-    # A NULL body is rejected as well.
-    is_object = F.coalesce(F.json_object_keys(body).isNotNull(), F.lit(False))
-    found = missing_words_to_null(strip_quotes(json_field(body, field)))
+    # One parse: NULL for a NULL body and for one that is not an object.
+    parsed = responses.select(
+        F.col(key).cast("string").alias("_own"),
+        F.col(body).alias("_text"),
+        F.from_json(body, "map<string,string>").alias("_fields"),
+    )
+    own, is_object = F.col("_own"), F.col("_fields").isNotNull()
+    found = missing_words_to_null(strip_quotes(F.try_element_at("_fields", F.lit(field))))
     return (
-        responses.select(
+        parsed.select(
             F.when(is_object, strip_quotes(own)).otherwise(own).alias("titleId"),
             F.when(is_object, found).alias("countryText"),
             (~is_object).alias("rejected"),
-            F.when(~is_object, text).alias("body"),
+            F.when(~is_object, F.col("_text")).alias("body"),
         )
         .withColumn("country", split_items("countryText", trim=trim))
         .select("titleId", "countryText", "country", "rejected", "body")

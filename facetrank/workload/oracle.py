@@ -245,6 +245,15 @@ SQL: dict[str, str] = {
         INPUTS,
         """select "titleId", array_to_string(country, '|') as country_text from countries""",
     ),
+    "append_merge": _with(
+        INPUTS,
+        """
+        select "titleId",
+               case when cast("titleId" as bigint) % 3 <> 0 then array_to_string(country, '|')
+                    else 'second' end as country_text
+        from countries
+        """,
+    ),
     "store_rejects": _with(
         BODIES,
         """
@@ -427,6 +436,13 @@ SQL: dict[str, str] = {
         from (select country, genre, director, round(m, 1) as r from director_means)
         """,
     ),
+    "rank_within_ranges": """
+        select cast(l_suppkey % 3 as integer) as third, l_extendedprice,
+               rank() over (partition by l_suppkey % 3 order by l_extendedprice desc) as ranking,
+               dense_rank() over (partition by l_suppkey % 3 order by l_extendedprice desc)
+                 as dense_ranking
+        from lineitem
+    """,
     "top_ties": _with(
         FACETS,
         """

@@ -49,6 +49,7 @@ from facetrank.session import scratch_database, scratch_name, scratch_path
 from facetrank.sinks import (
     append_rows,
     insert_overwrite,
+    merge_rows,
     overwrite_table,
     replace_view,
     write_delimited,
@@ -320,6 +321,19 @@ def append_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("append_merge")
+def append_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles come twice with other countries, and then once more: the first stay."""
+    countries = inputs(spark, sf_dir).countries
+    number = F.col("titleId").cast("bigint")
+    first = countries.where(number % 3 != 0)
+    second = countries.withColumn("country", F.array(F.lit("second")))
+    database, table = scratch_database(spark), scratch_name("merged")
+    for rows in (first, second, first.unionByName(second)):
+        merged = merge_rows(rows, table, ["titleId"], [F.size("country"), F.col("country")], database)
+    return merged.select("titleId", joined_text("country", "country_text"))
+
+
 # Projections and filters
 
 
@@ -536,6 +550,16 @@ def rank_within_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select(*TRIPLE, "mean_rating", "ranking", "dense_ranking")
 
 
+@query("rank_within_ranges")
+def rank_within_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of all lines by price, in three groups cut into ranges of few values."""
+    lines = source(spark, sf_dir, "lineitem").select(
+        F.pmod("l_suppkey", F.lit(3)).cast("int").alias("third"), "l_extendedprice"
+    )
+    ranked = rank_large_groups(lines, ["third"], "l_extendedprice", rows_per_range=100)
+    return ranked.select("third", "l_extendedprice", "ranking", "dense_ranking")
+
+
 @query("top_ties")
 def top_ties_of_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = director_means(inputs(spark, sf_dir), digits=1)

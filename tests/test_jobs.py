@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from facetrank.__main__ import FILES, main
 from facetrank.schemas import INPUTS
-from facetrank.sinks import write_delimited
+from facetrank.sinks import part_paths, write_delimited
 from tests import micro
 from tests.conftest import rows
 
@@ -28,34 +30,62 @@ def test_load_and_rank(spark, tmp_path):
     )
 
 
-def test_countries(spark, tmp_path):
-    bodies = {
-        "t1": '{"Country":"USA, China"}',
-        "t2": '{"Country":"N/A"}',
-        "t3": "<p>oops\tt\nx</p>",
-        "t4": '{"Country":"USA, China"}',
-        "t5": '{"Country":"A\\tB\\nC"}',
-    }
-    source = tmp_path / "responses.jsonl"
-    source.write_text(
-        "".join(json.dumps({"titleId": k, "body": v}) + "\n" for k, v in bodies.items())
-    )
-    out = str(tmp_path / "out")
-    for _ in range(2):
-        main(["countries", "--responses", str(source), "--output", out])
+BODIES = {
+    "t1": '{"Country":"USA, China"}',
+    "t2": '{"Country":"N/A"}',
+    "t3": "<p>oops\tt\nx</p>",
+    "t4": '{"Country":"USA, China"}',
+    "t5": '{"Country":"A\\tB\\nC"}',
+}
+
+
+def land(path, bodies) -> str:
+    path.write_text("".join(json.dumps({"titleId": k, "body": v}) + "\n" for k, v in bodies.items()))
+    return str(path)
 
-    def lines(name):
-        return sorted(r["value"] for r in spark.read.text(f"{out}/{name}").collect())
 
+def lines(spark, out, part):
+    paths = part_paths(spark, out, part)
+    return sorted(r["value"] for r in spark.read.text(paths).collect()) if paths else []
+
+
+def test_countries(spark, tmp_path):
+    out = str(tmp_path / "out")
+    first = land(tmp_path / "first.jsonl", BODIES)
+    for _ in range(2):  # the second adds nothing
+        main(["countries", "--responses", first, "--output", out])
     once = ["t1\tUSA, China", "t2\t\\N", "t4\tUSA, China"]
-    assert lines("title.country.tsv") == sorted(once * 2)
-    assert lines("values") == ["USA, China"]
-    rejects = [json.loads(x) for x in lines("rejects")]
+    assert lines(spark, out, "countries") == once
+    assert lines(spark, out, "values") == ["USA, China"]
+    assert lines(spark, out, "single_values") == [" China", "USA"]
+    rejects = [json.loads(x) for x in lines(spark, out, "rejects")]
     assert sorted(((r["titleId"], r.get("body"), r.get("countryText")) for r in rejects), key=repr) == sorted(
-        [("t3", "<p>oops\tt\nx</p>", None), ("t5", None, "A\tB\nC")] * 2, key=repr
+        [("t3", "<p>oops\tt\nx</p>", None), ("t5", None, "A\tB\nC")], key=repr
     )
-    main(["countries", "--responses", str(source), "--output", out, "--exploded"])
-    assert lines("values") == [" China", "USA"]
+    # A later run brings known titles again, with other countries, and a new one.
+    more = land(tmp_path / "more.jsonl", {"t1": '{"Country":"Peru"}', "t6": '{"Country":"Chad"}'})
+    main(["countries", "--responses", more, "--output", out])
+    assert lines(spark, out, "countries") == [*once, "t6\tChad"]
+    assert lines(spark, out, "values") == ["Chad", "USA, China"]
+
+
+def test_a_run_that_dies_between_its_outputs_gives_each_row_once(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    source = land(tmp_path / "r.jsonl", BODIES)
+    for dies_at in ("country_values", "commit_run"):
+        with monkeypatch.context() as patch:
+
+            def die(*args, **kwargs):
+                raise RuntimeError("killed")
+
+            patch.setattr(f"facetrank.__main__.{dies_at}", die)
+            with pytest.raises(RuntimeError, match="killed"):
+                main(["countries", "--responses", source, "--output", out])
+        assert lines(spark, out, "countries") == []
+    main(["countries", "--responses", source, "--output", out])
+    assert lines(spark, out, "countries") == ["t1\tUSA, China", "t2\t\\N", "t4\tUSA, China"]
+    assert lines(spark, out, "values") == ["USA, China"]
+    assert len(lines(spark, out, "rejects")) == 2
 
 
 def test_countries_run_twice_do_not_change_the_means(spark, tmp_path):

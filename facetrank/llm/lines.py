@@ -13,8 +13,9 @@ chunk, or joins or splits two, so near lines share such a key too; lines whose
 keys meet no other line have no partner. Short lines skip this test.
 
 Groups of equal keys are read as sorted streams that hold one row, and yield one
-pair per member: with the earliest of its group. Hashes only propose; each pair is
-checked on its words.
+pair per member: with the earliest of its group. Hashes of variants only propose;
+each pair is checked on its words. Equal lines are those of equal names, 64 bits that
+words in order are mixed into.
 """
 
 from __future__ import annotations
@@ -46,6 +47,26 @@ def _power(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+def line_names(words: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A name for each line of at least one word, from its words in order.
+
+    Neighbouring words are mixed in pairs until one number is left. Unlike sums of
+    powers, no pattern of two words repeats in the result.
+    """
+    mixed, count = spread(words + np.uint64(_BASE)), n.astype(np.int64)
+    while len(count) and count.max() > 1:
+        owner = np.repeat(np.arange(len(count)), count)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        left = np.flatnonzero(place % 2 == 0)
+        of = count[owner[left]]
+        right = mixed[np.minimum(left + 1, len(mixed) - 1)]
+        right[place[left] + 1 >= of] = 0  # the last of an odd number
+        pairs = spread(mixed[left] * np.uint64(_BASE) + spread(right ^ np.uint64(_INVERSE)))
+        mixed = np.where(of > 1, pairs, mixed[left])
+        count = (count + 1) // 2
+    return spread(mixed ^ spread(n.astype(np.uint64)))
+
+
 class Hashed:
     """Prefix sums of the words of many lines, from which any part can be left out."""
 
@@ -66,10 +87,6 @@ class Hashed:
         rest = head + tail * self.inverse[gone]
         return spread(rest ^ spread((self.n[line] - gone).astype(np.uint64)))
 
-    def whole(self) -> np.ndarray:
-        none = np.zeros(len(self.n), np.int64)
-        return self.without(np.arange(len(self.n)), none, none)
-
     def chunk_keys(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Keys of the lines whole and without one chunk or two: line, key; and short lines.
 
@@ -121,7 +138,7 @@ def _places(batches):
             words, n = hashes_between(data, edges, lower=False)
             filled = np.flatnonzero(n)
             hashed = Hashed(words, n[filled])
-            names = hashed.whole()
+            names = line_names(words, n[filled])
             distinct = np.sort(np.unique(names, return_index=True)[1])
             line, keys, short = hashed.chunk_keys(distinct)
             order = np.argsort(line, kind="stable")
@@ -165,7 +182,7 @@ def _texts(batches):
             data, edges, _, _ = _lines_of(part.column(0))
             words, n = hashes_between(data, edges, lower=False)
             filled = np.flatnonzero(n)
-            names = Hashed(words, n[filled]).whole()
+            names = line_names(words, n[filled])
             distinct = np.sort(np.unique(names, return_index=True)[1])
             pieces = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())]

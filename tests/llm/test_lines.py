@@ -94,3 +94,13 @@ def test_near_lines_share_a_chunk_key(numbers, data):
     column = pa.array([b" ".join(words), b" ".join(other)])
     line, keys, short = lines.Hashed(*word_hashes(column, lower=False)).chunk_keys(np.arange(2))
     assert len(short) or set(keys[line == 0].tolist()) & set(keys[line == 1].tolist())
+
+
+def test_lines_that_are_patterns_of_two_words_are_told_apart(spark):
+    """The Thue-Morse sequence and its complement: equal in any sum of powers modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one = " ".join("ab"[b] for b in bits)
+    other = " ".join("ba"[b] for b in bits)
+    rows = [(1, f"{one}\n{other}"), (2, f"{other}\n{one}"), (3, one)]
+    got = lines.deduplicated_lines(documents(spark, rows))
+    assert tuples(got, "doc_id", "n_dropped", "text") == [(1, 0, rows[0][1]), (2, 2, ""), (3, 1, "")]

@@ -19,12 +19,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetrank.llm.common import in_arrow, shuffle_partitions, stored
 from facetrank.llm.components import components
+from facetrank.llm.words import parts_of, spread, word_hashes
 
 SHINGLE = 5
 PERCENT = 75
@@ -34,8 +34,8 @@ LEAST_DEPTH = 3
 SORTED_DEPTH = 10
 NEIGHBOURS = 8
 FIRST_TREES = 2
-_CACHED_WORDS = 500_000
 _MATRIX_ROWS = 4_096
+_PART_BYTES = 1 << 20
 
 _random = np.random.default_rng(20_240_601)
 _WORD_FACTORS = _random.integers(1 << 62, size=SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -44,65 +44,68 @@ _HASH_FACTORS = (
 )
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_words = _WordHashes()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit numbers; one to one."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
-    words = text.lower().split()
-    n = len(words)
-    if n == 0:
-        return np.empty(0, np.uint64)
-    hashed = np.fromiter(map(_words.__getitem__, words), np.uint64, n)
-    if n < SHINGLE:
-        whole = (hashed * _WORD_FACTORS[:n]).sum(keepdims=True, dtype=np.uint64)
-        return _mixed(whole + np.uint64(n))
-    total = hashed[: n - SHINGLE + 1] * _WORD_FACTORS[0]
-    for i in range(1, SHINGLE):
-        total += hashed[i : n - SHINGLE + 1 + i] * _WORD_FACTORS[i]
-    return np.unique(_mixed(total))
-
-
-def signature(found: np.ndarray) -> np.ndarray:
-    """Minimum hashes of a non-empty shingle set."""
-    least = np.full(len(_HASH_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(found), _MATRIX_ROWS):
-        part = found[at : at + _MATRIX_ROWS, None] * _HASH_FACTORS[None, :]
-        np.minimum(least, part.min(0), out=least)
-    return (least >> np.uint64(32)).astype(">u4")
+def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct 64-bit hashes of the shingles of many texts, sorted per text; and how many."""
+    words, n = word_hashes(column)
+    if not len(words):
+        return np.empty(0, np.uint64), n
+    start = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(n)), n)
+    left = np.repeat(start + n, n) - np.arange(len(words))  # words from here to the end
+    padded = np.concatenate([words, np.zeros(SHINGLE - 1, np.uint64)])
+    total = np.zeros(len(words), np.uint64)
+    for i in range(SHINGLE):
+        total += np.where(left > i, padded[i : i + len(words)] * _WORD_FACTORS[i], np.uint64(0))
+    short = n < SHINGLE
+    first = np.zeros(len(words), bool)
+    first[start[short & (n > 0)]] = True
+    total[first] += n[owner[first]].astype(np.uint64)  # a short text is one shingle
+    held = (left >= SHINGLE) | first
+    owner, values = owner[held], spread(total[held])
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return values[new], np.bincount(owner[new], minlength=len(n))
+
+
+def signatures(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Minimum hashes of each shingle set; a row of zeros for an empty one."""
+    out = np.zeros((len(counts), len(_HASH_FACTORS)), ">u4")
+    filled = np.flatnonzero(counts)
+    starts = (np.cumsum(counts) - counts)[filled]
+    if not len(filled):
+        return out
+    least = np.full((len(filled), len(_HASH_FACTORS)), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(values), _MATRIX_ROWS):
+        part = values[at : at + _MATRIX_ROWS, None] * _HASH_FACTORS[None, :]
+        # The sets that reach into these rows; the first may have begun before.
+        low = np.searchsorted(starts, at, "right") - 1
+        high = np.searchsorted(starts, at + len(part))
+        found = np.minimum.reduceat(part, np.maximum(starts[low:high] - at, 0), axis=0)
+        np.minimum(least[low:high], found, out=least[low:high])
+    out[filled] = least >> np.uint64(32)
+    return out
+
+
+def _split(values: np.ndarray, counts: np.ndarray):
+    ends = np.cumsum(counts)
+    return [values[end - n : end] for end, n in zip(ends.tolist(), counts.tolist(), strict=True)]
 
 
 def _sign(batches):
     for batch in batches:
-        for at in range(0, batch.num_rows, 1_000):
-            part = batch.slice(at, 1_000)
-            counts, digests, signatures = [], [], []
-            for text in part.column(1).to_pylist():
-                found = shingles(text)
-                counts.append(len(found))
-                digests.append(hashlib.md5(found.tobytes()).digest() if len(found) else None)
-                signatures.append(signature(found).tobytes() if len(found) else None)
+        for part in parts_of(batch, 1, _PART_BYTES):
+            values, counts = shingle_sets(part.column(1))
+            sets = _split(values, counts)
+            rows = [row.tobytes() if n else None for row, n in zip(signatures(values, counts), counts, strict=True)]
+            digests = [hashlib.md5(own.tobytes()).digest() if len(own) else None for own in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.array(signatures, pa.binary()),
+                    pa.array(rows, pa.binary()),
                 ],
                 ["doc_id", "n_shingles", "class", "signature"],
             )
@@ -111,14 +114,14 @@ def _sign(batches):
 def _sets(batches):
     """Shingle sets of the documents asked for, as signed numbers."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 1_000):
-            part = batch.slice(at, 1_000)
-            classes, sets = [], []
-            for wanted, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                found = shingles(text)
-                if hashlib.md5(found.tobytes()).digest() == wanted:
-                    classes.append(wanted)
-                    sets.append(found.view(np.int64))
+        for part in parts_of(batch, 1, _PART_BYTES):
+            sets = _split(*shingle_sets(part.column(1)))
+            right = [
+                (wanted, own.view(np.int64))
+                for wanted, own in zip(part.column(0).to_pylist(), sets, strict=True)
+                if hashlib.md5(own.tobytes()).digest() == wanted
+            ]
+            classes, sets = zip(*right, strict=True) if right else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(classes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
                 ["class", "shingles"],
@@ -194,11 +197,11 @@ def candidates(classes: DataFrame) -> DataFrame:
         shuffle_partitions(classes.sparkSession), "tree", "key", "class"
     ).sortWithinPartitions("tree", "key", "class")
     found = stored(in_arrow(dealt, _neighbours, _NEIGHBOURS), "neighbours")
-    # A few rows per task.
+    # A few rows per task; only they move.
     edges = (
         found.where("b is null")
         .select("tree", "key", F.col("a").alias("class"))
-        .coalesce(1)
+        .repartition(1)
         .sortWithinPartitions("tree", "key", "class")
     )
     pairs = found.where("b is not null").unionByName(in_arrow(edges, _across, _NEIGHBOURS))

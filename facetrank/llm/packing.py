@@ -34,6 +34,8 @@ from facetrank.llm.tokenfile import WordEncoder
 CAPACITY = 4096
 END_ID = 2
 _DOCS_AT_ONCE = 256
+# So many parts, of some 100 bytes each, are broadcast.
+FEW_CUTS = 50_000
 
 
 class Pattern(NamedTuple):
@@ -293,13 +295,18 @@ def _slice(ids):
 def pack_digests(docs: DataFrame, definition: str, capacity: int = CAPACITY) -> DataFrame:
     """As :func:`pack`, with a crc32 of the ids in their stead.
 
-    Whole pieces are digested where they lie; only ids of pieces that are cut move.
+    Whole pieces are digested where they lie. The ids of pieces that are cut are
+    fetched by a join; as long as ``FEW_CUTS`` pieces are cut, counted here, those go to
+    the ids.
     """
     pieces = pieces_of(docs, definition, capacity).withColumn("ids_crc32", F.crc32("ids"))
     placed = stored(place(pieces, ["doc_id", "start", "doc_tokens", "ids_crc32"], capacity), "parts")
     whole = placed.where("length = size")
     held = pieces.select("task", "nth", F.col("length").alias("size"), "ids")
-    cut = placed.where("length < size").join(held, ["task", "nth", "size"])
+    parts = placed.where("length < size")
+    if parts.limit(FEW_CUTS + 1).count() <= FEW_CUTS:
+        parts = F.broadcast(parts)
+    cut = held.join(parts, ["task", "nth", "size"])
     cut = cut.withColumn("ids_crc32", F.crc32(_slice(F.col("ids")))).select(*whole.columns)
     return whole.unionByName(cut).select(
         "doc_id",

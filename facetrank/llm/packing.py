@@ -29,11 +29,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from facetrank.llm.common import in_arrow, stored
-from facetrank.llm.tokenfile import WordEncoder
+from facetrank.llm.tokenfile import worker_encoder
 
 CAPACITY = 4096
 END_ID = 2
-_DOCS_AT_ONCE = 256
+_DOCS_AT_ONCE = 128
+# Words whose ids a worker remembers; more only spare time.
+WORDS_KEPT = 250_000
 # So many parts, of some 100 bytes each, are broadcast.
 FEW_CUTS = 50_000
 
@@ -129,12 +131,13 @@ def _cutter(definition, capacity: int):
 
     def run(batches):
         task = TaskContext.get().partitionId()
-        encoder = WordEncoder(definition.value)
+        encoder = worker_encoder(definition.value)
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, _DOCS_AT_ONCE):
                 part = batch.slice(at, _DOCS_AT_ONCE)
                 rows = []
+                encoder.keep_words(WORDS_KEPT)
                 texts = encoder.encode(part.column(1).to_pylist())
                 for doc_id, data in zip(part.column(0).to_pylist(), texts, strict=True):
                     ids = np.append(np.frombuffer(data, encoder.kind), END_ID).astype("<u4")

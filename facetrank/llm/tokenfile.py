@@ -102,10 +102,14 @@ class WordEncoder:
                 self.words[marks] = self._encode(marks.decode()).tobytes()
             self.words[word] = self.words[core] + self.words[marks]
 
+    def keep_words(self, most: int) -> None:
+        """Forget the words known so far if there are more."""
+        if len(self.words) > most:
+            self.words.clear()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Serialized ids of each text, without an end id."""
-        if len(self.words) > _CACHED_WORDS:
-            self.words.clear()
+        self.keep_words(_CACHED_WORDS)
         split = [[] if b"<|" in text else text.lower().split() for text in texts]
         ids = [list(map(self.words.get, words)) for words in split]
         gaps = [
@@ -126,7 +130,7 @@ class WordEncoder:
 _encoders: dict[bytes, WordEncoder] = {}
 
 
-def _encoder(definition: str) -> WordEncoder:
+def worker_encoder(definition: str) -> WordEncoder:
     """One per worker process, so that its words outlive a task."""
     key = hashlib.sha256(definition.encode()).digest()
     if key not in _encoders:
@@ -141,7 +145,7 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def _with_ids(batches, definition: str):
     """Batches of documents with their serialized ids, end id included."""
-    encoder = _encoder(definition)
+    encoder = worker_encoder(definition)
     end = np.array([END_ID], encoder.kind).tobytes()
     for batch in batches:
         for at in range(0, batch.num_rows, _DOCS_AT_ONCE):

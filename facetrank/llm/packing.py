@@ -35,7 +35,7 @@ CAPACITY = 4096
 END_ID = 2
 _DOCS_AT_ONCE = 128
 # Words whose ids a worker remembers; more only spare time.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 400_000
 # So many parts, of some 100 bytes each, are broadcast.
 FEW_CUTS = 50_000
 

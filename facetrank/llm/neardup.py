@@ -2,15 +2,21 @@
 
 Documents with equal shingle sets are one class. A class has ``TREES * DEPTH``
 minimum hashes; tree t sorts the classes by its own ``DEPTH`` values and then
-by those of the next, ``SORTED_DEPTH`` in all. Neighbours in that order that share at least ``LEAST_DEPTH`` leading values are candidates:
-the order puts the longest common prefixes side by side, so in a crowded region
-deeper values decide who is compared, and in a thin one a short prefix is enough.
+by those of the next, ``SORTED_DEPTH`` in all. Neighbours in that order that share
+at least ``LEAST_DEPTH`` leading values are candidates: the order puts the longest
+common prefixes side by side, so in a crowded region deeper values decide who is
+compared first, and in a thin one a short prefix is enough.
 
 Orders are made by range partitions of the whole key. A region of any size may
 be split between tasks; rows at the edges of tasks are compared in a second step.
-Candidates are confirmed on the full sets. A first round confirms nearest
-neighbours of a few trees and joins what they link; the rest is confirmed only
-between different components, as links inside one change nothing.
+Links are confirmed on the full sets, in three rounds. What a round links has one
+label from then on, and only pairs of different labels are looked for:
+
+1. next neighbours in the first trees;
+2. neighbours up to ``NEIGHBOURS`` places apart in all trees, among the classes
+   that have a neighbour at all;
+3. classes in runs of more rows than that with one prefix and several labels:
+   an exact join on the rarest shingles, so that no pair of a run is missed.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ DEPTH = 5
 LEAST_DEPTH = 3
 SORTED_DEPTH = 10
 NEIGHBOURS = 8
-FIRST_TREES = 2
+FIRST_TREES = 4
 _MATRIX_ROWS = 4_096
 _PART_BYTES = 1 << 20
 
@@ -128,87 +134,194 @@ def _sets(batches):
             )
 
 
-_NEIGHBOURS = "a binary, b binary, tree int, apart int, key binary"
+_NEIGHBOURS = "a binary, b binary, tree int, run binary, key binary, label binary"
+_PREFIX = 4 * LEAST_DEPTH
 
 
-def _pairs_of(rows, fresh: int):
-    """Pairs of ``rows (tree, key, class)``, in order, that reach into the last ``fresh``."""
-    least = 4 * LEAST_DEPTH
+def _pairs_of(rows, fresh: int, reach: int):
+    """Pairs of ``rows (tree, key, class, label)``, in order, that reach into the last ``fresh``."""
     for j in range(len(rows) - fresh, len(rows)):
-        tree, key, node = rows[j]
-        for i in range(j - 1, max(-1, j - 1 - NEIGHBOURS), -1):
-            if rows[i][0] != tree or rows[i][1][:least] != key[:least]:
+        tree, key, node, label = rows[j]
+        for i in range(j - 1, max(-1, j - 1 - reach), -1):
+            if rows[i][0] != tree or rows[i][1][:_PREFIX] != key[:_PREFIX]:
                 break
-            yield rows[i][2], node, tree, j - i
+            if (rows[i][3] or rows[i][2]) != (label or node):
+                yield rows[i][2], node, tree, None, None, None
 
 
-def _neighbours(batches):
-    """Sorted rows to candidate pairs, and the rows at both ends of this task."""
-    seen, held, edges = 0, [], []
-    for batch in batches:
-        rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        edges += rows[: max(0, NEIGHBOURS - seen)]
-        together = held + rows
-        yield _neighbour_batch(list(_pairs_of(together, len(rows))))
-        seen += len(rows)
-        held = together[-NEIGHBOURS:]
-    # Both ends of a short task overlap; no row is listed twice.
-    edges += held[max(0, 2 * NEIGHBOURS - seen) :] if seen > NEIGHBOURS else []
-    yield _neighbour_batch([], edges)
-
-
-def _neighbour_batch(pairs, edges=()):
-    rows = [(*pair, None) for pair in pairs]
-    rows += [(node, None, tree, None, key) for tree, key, node in edges]
-    columns = list(zip(*rows, strict=True)) or [()] * 5
-    kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+def _long_runs(rows, fresh: int, reach: int):
+    """Prefixes of runs that are longer than neighbours reach."""
+    for j in range(max(len(rows) - fresh, reach + 1), len(rows)):
+        (tree, key, *_), (far_tree, far_key, *_) = rows[j], rows[j - reach - 1]
+        if tree == far_tree and key[:_PREFIX] == far_key[:_PREFIX]:
+            yield tree, key[:_PREFIX]
+
+
+def _neighbour_batch(rows):
+    columns = list(zip(*rows, strict=True)) or [()] * 6
+    kinds = [pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-        ["a", "b", "tree", "apart", "key"],
+        ["a", "b", "tree", "run", "key", "label"],
     )
 
 
-def _across(batches):
-    """Pairs between rows of different tasks, from the sorted rows at their ends."""
-    held = []
-    for batch in batches:
-        rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        together = held + rows
-        yield _neighbour_batch(list(_pairs_of(together, len(rows))))
-        held = together[-NEIGHBOURS:]
-
+def _neighbours(reach: int, across: bool):
+    """Sorted rows to candidate pairs, long runs, and the rows at both ends of the task.
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """``(a, b, nearest)``: pairs of neighbours in some order, the smaller class first.
-
-    ``nearest`` marks direct neighbours of the first trees.
+    With ``across``, the rows are such ends of all tasks, and no ends are given.
     """
+    kept = reach + 1
+
+    def run(batches):
+        seen, held, edges, last = 0, [], [], None
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            edges += rows[: max(0, kept - seen)]
+            together = held + rows
+            found = list(_pairs_of(together, len(rows), reach))
+            for long in dict.fromkeys(_long_runs(together, len(rows), reach)):
+                if long != last:
+                    found.append((None, None, long[0], long[1], None, None))
+                    last = long
+            yield _neighbour_batch(found)
+            seen += len(rows)
+            held = together[-kept:]
+        if not across:
+            # Both ends of a short task overlap; no row is listed twice.
+            edges += held[max(0, 2 * kept - seen) :] if seen > kept else []
+            yield _neighbour_batch([(node, None, tree, None, key, label) for tree, key, node, label in edges])
+
+    return run
+
+
+def _in_trees(classes: DataFrame) -> DataFrame:
+    """A row ``(tree, key, class, label)`` per class and tree; a class's own label is null."""
     width = 4 * DEPTH
-    rows = classes.select(
-        "class", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    return classes.select(
+        "class", "label", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     ).select(
         "tree",
         F.expr(
             f"substring(concat(signature, signature), tree * {width} + 1, {4 * SORTED_DEPTH})"
         ).alias("key"),
         "class",
+        F.when(F.col("label") != F.col("class"), F.col("label")).alias("label"),
+    )
+
+
+def neighbours(classes: DataFrame, reach: int) -> DataFrame:
+    """Pairs ``(a, b, tree)`` of classes of different labels, and long runs ``(tree, run)``.
+
+    Pairs are at most ``reach`` places apart in the order of the tree; a long run
+    has more than ``reach + 1`` rows with one prefix.
+    """
+    order = ["tree", "key", "class"]
+    dealt = (
+        _in_trees(classes)
+        .repartitionByRange(shuffle_partitions(classes.sparkSession), *order)
+        .sortWithinPartitions(*order)
     )
-    dealt = rows.repartitionByRange(
-        shuffle_partitions(classes.sparkSession), "tree", "key", "class"
-    ).sortWithinPartitions("tree", "key", "class")
-    found = stored(in_arrow(dealt, _neighbours, _NEIGHBOURS), "neighbours")
+    found = stored(in_arrow(dealt, _neighbours(reach, False), _NEIGHBOURS), "neighbours")
     # A few rows per task; only they move.
     edges = (
-        found.where("b is null")
-        .select("tree", "key", F.col("a").alias("class"))
+        found.where("key is not null")
+        .select("tree", "key", F.col("a").alias("class"), "label")
         .repartition(1)
-        .sortWithinPartitions("tree", "key", "class")
+        .sortWithinPartitions(*order)
     )
-    pairs = found.where("b is not null").unionByName(in_arrow(edges, _across, _NEIGHBOURS))
+    return found.where("key is null").unionByName(in_arrow(edges, _neighbours(reach, True), _NEIGHBOURS))
+
+
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     return (
-        pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .agg(F.max((F.col("tree") < FIRST_TREES) & (F.col("apart") == 1)).alias("nearest"))
+        pairs.where("b is not null")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .where("a != b")
+        .distinct()
+    )
+
+
+def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``classes`` with their labels; one that is in no link is its own label."""
+    known = labels.select(F.col("node").alias("class"), F.col("label").alias("known"))
+    return (
+        classes.drop("label")
+        .join(known, "class", "left")
+        .withColumn("label", F.coalesce("known", "class"))
+        .drop("known")
+    )
+
+
+def _crowded(classes: DataFrame, runs: DataFrame) -> DataFrame:
+    """``(class, label)`` of the classes in those ``runs (tree, run)`` that hold several labels."""
+    members = stored(
+        _in_trees(classes)
+        .select("tree", F.expr(f"substring(key, 1, {_PREFIX})").alias("run"), "class", F.coalesce("label", "class").alias("label"))
+        .join(runs, ["tree", "run"], "left_semi"),
+        "runs",
+    )
+    several = members.groupBy("tree", "run").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    return (
+        members.join(several.where("least != most"), ["tree", "run"], "left_semi")
+        .select("class", "label")
+        .distinct()
+    )
+
+
+def exact_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: all pairs of ``members (class, label, shingles)`` that can be similar enough.
+
+    Only pairs of different labels count. Shingles are ordered by rarity. A pair
+    that reaches ``percent`` shares a shingle among the first of both, and at its
+    first common one enough are left on both sides; ``most`` is the size of the
+    largest partner for which that can hold. The smaller of a pair looks for the
+    larger one. In the list of a shingle the members of its commonest label are
+    never compared with each other, so a large group that is linked already costs
+    nothing but its list.
+    """
+    tokens = members.select("class", F.explode("shingles").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    ordered = tokens.join(shared, "token").groupBy("class").agg(
+        F.array_sort(F.collect_list(F.struct("held", "token"))).alias("tokens")
+    )
+    # Shingles that nobody else has come first and meet nothing.
+    alone = F.col("n") - F.size("tokens")
+    postings = stored(
+        members.select("class", "label", F.size("shingles").cast("bigint").alias("n"))
+        .join(ordered, "class")
+        .withColumn("alone", alone)
+        .withColumn("first", F.expr(f"n - (({percent} * n + 99) div 100) + 1 - alone"))
+        .where("first > 0")
+        .select("class", "label", "n", "alone", F.posexplode(F.expr("slice(tokens, 1, int(first))")))
+        .select(
+            F.col("col.token").alias("token"),
+            "class",
+            "label",
+            "n",
+            F.expr(f"({100 + percent} * (n - alone - pos)) div {percent} - n").alias("most"),
+        ),
+        "postings",
+    )
+    lists = postings.groupBy("token", "label").agg(F.count("*").alias("members"))
+    main = (
+        lists.groupBy("token")
+        .agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count("*").alias("labels"))
+        .where("labels > 1")
+        .select("token", "main")
+    )
+    dealt = stored(postings.join(main, "token").withColumn("other", F.expr("label != main")).drop("main"), "lists")
+    small = dealt.where("most >= n").alias("small")
+    large = dealt.alias("large")
+    fits = F.expr(
+        "small.token = large.token and small.label != large.label"
+        " and large.n <= small.most and small.n <= large.most"
+        " and (large.n > small.n or large.n = small.n and large.class > small.class)"
+    )
+    found = small.where("other").join(large, fits).select("small.class", F.col("large.class").alias("with"))
+    back = small.where("not other").join(large.where("other"), fits)
+    return _distinct_pairs(
+        found.union(back.select("small.class", F.col("large.class").alias("with"))).toDF("a", "b")
     )
 
 
@@ -249,14 +362,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = stored(
         signed.where("class is not null")
         .groupBy("class")
-        .agg(F.min("signature").alias("signature"), F.min("doc_id").alias("doc_id")),
+        .agg(F.min("signature").alias("signature"), F.min("doc_id").alias("doc_id"))
+        .withColumn("label", F.col("class")),
         "classes",
     )
-    pairs = stored(candidates(classes), "candidates")
-    ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = classes.join(ends, "class", "left_semi").select(
-        "class", F.col("doc_id").alias("wanted_id")
-    )
+    near = neighbours(classes, 1).where("b is not null").select("a", "b", "tree")
+    near = stored(near, "next_neighbours")
+    ends = near.select(F.col("a").alias("class")).union(near.select("b")).distinct()
+    met = stored(classes.join(ends, "class", "left_semi"), "classes_met")
+    wanted = met.select("class", F.col("doc_id").alias("wanted_id"))
     sets = stored(
         in_arrow(
             source.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("class", "text"),
@@ -265,21 +379,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         ).dropDuplicates(["class"]),
         "shingle_sets",
     )
-    first = stored(
-        components(_confirmed(pairs.where("nearest").select("a", "b"), sets, percent)), "first_links"
-    )
-    a_label = first.select(F.col("node").alias("a"), F.col("label").alias("a_label"))
-    b_label = first.select(F.col("node").alias("b"), F.col("label").alias("b_label"))
-    open_pairs = (
-        pairs.where("not nearest")
-        .join(a_label, "a", "left")
-        .join(b_label, "b", "left")
-        .where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
-        .select("a", "b")
-    )
-    links = _confirmed(stored(open_pairs, "open_pairs"), sets, percent)
-    known = first.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    labels = stored(components(known.unionByName(links)), "labels")
+
+    def linked(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+        links = _confirmed(stored(pairs, "candidates"), sets, percent)
+        if known is not None:
+            links = links.unionByName(known.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        return stored(components(links), "labels")
+
+    labels = linked(_distinct_pairs(near.where(F.col("tree") < FIRST_TREES)), None)
+    found = stored(neighbours(_labelled(met, labels), NEIGHBOURS), "pairs_and_runs")
+    labels = linked(_distinct_pairs(found), labels)
+    runs = found.where("run is not null").select("tree", "run").distinct()
+    members = stored(_crowded(_labelled(met, labels), runs).join(sets, "class"), "crowded")
+    labels = linked(exact_pairs(members, percent), labels)
     rows = stored(
         signed.select("doc_id", "n_shingles", "class")
         .join(labels, F.col("class") == F.col("node"), "left")

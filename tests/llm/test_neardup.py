@@ -82,6 +82,56 @@ def test_large_group_of_near_copies(spark):
     assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
 
 
+def test_every_link_of_a_crowded_region(spark):
+    # All texts share most shingles, at less than the limit; only partners are above it.
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(104)]
+    rows = []
+    for pair in range(1_000):
+        own = [f"p{pair}_{i}" for i in range(9)]
+        for side in "lr":
+            rows.append((len(rows), " ".join(common + own + [f"{side}{pair}_{i}" for i in range(13)])))
+    a, b, other = (shingle_set(rows[i][1]) for i in (0, 1, 2))
+    assert 100 * len(a & b) >= 75 * len(a | b) and 100 * len(a & other) < 75 * len(a | other)
+    rng.shuffle(rows)
+    got = neardup.near_duplicates(documents(spark, rows)).collect()
+    assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in got) and len(got) == len(rows)
+
+
+def test_stragglers_beside_a_large_linked_group(spark):
+    rng = random.Random(6)
+    base = prose(rng, 300, 5_000)
+    rows = list(enumerate(variants(rng, base, 300, 2)))
+    for _ in range(30):  # around the limit to the group and to each other
+        words = base.split()
+        for i in rng.sample(range(0, 300, 8), rng.choice((6, 7, 8, 9, 10))):
+            words[i] = f"y{rng.randrange(10**6)}"
+        rows.append((len(rows), " ".join(words)))
+    assert tuples(neardup.near_duplicates(documents(spark, rows)), *COLUMNS) == expected(rows)
+
+
+def test_exact_pairs_lose_none(spark):
+    rng = random.Random(8)
+    sets = []
+    for _ in range(250):
+        pool = rng.choice(((0, 40), (0, 60), (30, 90)))
+        sets.append(sorted(rng.sample(range(*pool), rng.randrange(1, pool[1] - pool[0]))))
+    sets = [list(x) for x in dict.fromkeys(map(tuple, sets))]
+    labels = [rng.choice((0, 0, 0, i)) for i in range(len(sets))]
+    members = spark.createDataFrame(
+        [(i, labels[i], s) for i, s in enumerate(sets)], "class bigint, label bigint, shingles array<bigint>"
+    )
+    got = set(tuples(neardup.exact_pairs(members, 75), "a", "b"))
+    truth = {
+        (i, j)
+        for j in range(len(sets))
+        for i in range(j)
+        if labels[i] != labels[j]
+        and 100 * len(set(sets[i]) & set(sets[j])) >= 75 * len(set(sets[i]) | set(sets[j]))
+    }
+    assert truth and truth <= got
+
+
 def test_odd_rows_and_clashing_columns(spark):
     rows = odd_texts()
     got = [r for r in tuples(neardup.near_duplicates(documents(spark, rows, clashing=True)), *COLUMNS)]

@@ -57,6 +57,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def hash_bounds(rows: int, wanted: int):
+    """Rising bounds of a 64-bit hash to look below for the ``wanted`` smallest of ``rows`` rows.
+
+    About ``wanted`` rows lie below the first, so tasks send few others; where rows
+    that repeat a value leave too few, the next bound is tried. The last holds all.
+    """
+    share = (wanted + 6 * wanted**0.5 + 10) / max(rows, 1)
+    while share < 1:
+        yield int(share * 2**64) - 2**63
+        share *= 4
+    yield 2**63 - 1
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``stored`` wrote for ``df``, once nothing reads it any more."""
     context = df.sparkSession.sparkContext

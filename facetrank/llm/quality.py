@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetrank.llm.common import in_arrow, stored
+from facetrank.llm.common import hash_bounds, in_arrow, stored
 
 SAMPLE_ROWS = 40_000
 OPPONENTS = 8
@@ -182,14 +182,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     marks = labels.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("good")
     )
-    sample = (
+    training = stored(
         marks.where(F.col("good").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .join(described, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "good")
-        .limit(sample_rows)
-        .select("good", *FEATURES)
-        .toPandas()
+        .withColumn("number", F.xxhash64("doc_id")),
+        "quality_training",
     )
+    for bound in hash_bounds(training.count(), sample_rows):
+        sample = (
+            training.where(F.col("number") <= bound)
+            .orderBy("number", "doc_id", "good")
+            .limit(sample_rows)
+            .select("good", *FEATURES)
+            .toPandas()
+        )
+        if len(sample) == sample_rows:
+            break
     model = fit(sample[FEATURES].to_numpy(float).reshape(-1, len(FEATURES)), sample["good"].to_numpy() == 1)
     score = model.score()
     return described.select(

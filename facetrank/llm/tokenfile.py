@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetrank.llm.common import freed_shuffles, in_arrow, shuffle_partitions
+from facetrank.llm.common import freed_shuffles, hash_bounds, in_arrow, shuffle_partitions
 
 MAGIC = b"TOKS1\n"
 HEAD = struct.Struct("<6sB32sQQ")
@@ -167,13 +167,14 @@ def _sampler(definition):
 
 def train_dictionary(docs: DataFrame, definition) -> bytes:
     """Dictionary bytes from the sampled documents; empty if there are too few."""
-    sampled = (
-        _source(docs)
-        .where(F.octet_length("text") <= SAMPLE_DOC_BYTES)
-        .orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-        .limit(SAMPLE_DOCS)
-    )
-    rows = [bytes(r.ids) for r in in_arrow(sampled, _sampler(definition), "doc_id bigint, ids binary").collect() if r.ids]
+    short = _source(docs).where(F.octet_length("text") <= SAMPLE_DOC_BYTES)
+    number = F.xxhash64("doc_id", "text")
+    for bound in hash_bounds(short.count(), SAMPLE_DOCS):
+        sampled = short.where(number <= bound).orderBy(number, "doc_id").limit(SAMPLE_DOCS)
+        found = in_arrow(sampled, _sampler(definition), "doc_id bigint, ids binary").collect()
+        if len(found) == SAMPLE_DOCS:
+            break
+    rows = [bytes(r.ids) for r in found if r.ids]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sorted(rows)).as_bytes()
     except zstandard.ZstdError:  # too few or too even samples

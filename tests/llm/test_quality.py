@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 
 from facetrank.llm import quality
+from facetrank.llm.common import hash_bounds
 from tests.llm.fixtures import documents, odd_texts, prose
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -68,3 +69,25 @@ def test_bound_of_the_sample(spark):
     rows, labels = corpus(100)
     docs, marks = documents(spark, rows), spark.createDataFrame(labels, LABELS)
     assert quality.quality_scores(docs, marks, sample_rows=40).count() == 100
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    rows, labels = corpus(400)
+    repeated = [(labels[0][0], labels[0][1], 0)] * 300 + [(labels[1][0], labels[1][1], 0)] * 300
+    marks = spark.createDataFrame(labels + repeated, LABELS)
+    smallest = (
+        marks.where(~quality.held_out(quality.F.col("doc_id")))
+        .orderBy(quality.F.xxhash64("doc_id"), "doc_id", "quality")
+        .limit(60)
+    )
+    docs = documents(spark, rows)
+    got = quality.quality_scores(docs, marks, sample_rows=60).collect()
+    assert sorted(got) == sorted(quality.quality_scores(docs, smallest).collect())
+
+
+def test_bounds_rise_to_all_rows():
+    for rows in (0, 1, 60, 10_000, 10**12):
+        bounds = list(hash_bounds(rows, 60))
+        assert bounds == sorted(bounds) and bounds[-1] == 2**63 - 1
+    share = (next(iter(hash_bounds(10**12, 10_000))) + 2**63) / 2**64
+    assert 10_000 < share * 10**12 < 12_000

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from facetrank.llm.common import stored
 
+EDGES_PER_TASK = 100_000
+
 
 def _mark(edges: DataFrame):
     row = edges.agg(
@@ -20,10 +22,11 @@ def _mark(edges: DataFrame):
     return tuple(row)
 
 
-def _linked(pairs: DataFrame, only_higher: bool) -> DataFrame:
+def _linked(pairs: DataFrame, only_higher: bool, tasks: int) -> DataFrame:
     """Ties ends of ``(node, near)`` to the smallest end near ``node``."""
     least = stored(
-        pairs.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("least")), "least_ends"
+        pairs.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("least")).coalesce(tasks),
+        "least_ends",
     )
     joined = pairs.join(least, "node")
     if only_higher:  # large star: far ends move to the smallest
@@ -32,7 +35,7 @@ def _linked(pairs: DataFrame, only_higher: bool) -> DataFrame:
         linked = joined.select(F.col("near").alias("high"), F.col("least").alias("low")).union(
             least.select(F.col("node").alias("high"), F.col("least").alias("low"))
         )
-    return stored(linked.where("high != low").distinct(), "edges")
+    return stored(linked.where("high != low").distinct().coalesce(tasks), "edges")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -49,15 +52,17 @@ def components(edges: DataFrame) -> DataFrame:
     )
     mark = _mark(current)
     while mark[0]:
+        # Few edges, few files: rounds end with few, however many partitions a shuffle has.
+        tasks = 1 + mark[0] // EDGES_PER_TASK
         both = stored(
             current.select(F.col("high").alias("node"), F.col("low").alias("near")).union(
                 current.select(F.col("low").alias("node"), F.col("high").alias("near"))
-            ),
+            ).coalesce(tasks),
             "both_ways",
         )
-        large = _linked(both, only_higher=True)
+        large = _linked(both, True, tasks)
         down = large.select(F.col("high").alias("node"), F.col("low").alias("near"))
-        current = _linked(down, only_higher=False)
+        current = _linked(down, False, tasks)
         after = _mark(current)
         if after == mark:
             break

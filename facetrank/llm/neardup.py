@@ -40,6 +40,7 @@ LEAST_DEPTH = 3
 SORTED_DEPTH = 10
 NEIGHBOURS = 8
 FIRST_TREES = 4
+ROWS_PER_TASK = 50_000
 _MATRIX_ROWS = 4_096
 _PART_BYTES = 1 << 20
 
@@ -217,9 +218,10 @@ def neighbours(classes: DataFrame, reach: int) -> DataFrame:
     has more than ``reach + 1`` rows with one prefix.
     """
     order = ["tree", "key", "class"]
+    tasks = min(shuffle_partitions(classes.sparkSession), 1 + TREES * classes.count() // ROWS_PER_TASK)
     dealt = (
         _in_trees(classes)
-        .repartitionByRange(shuffle_partitions(classes.sparkSession), *order)
+        .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
     )
     found = stored(in_arrow(dealt, _neighbours(reach, False), _NEIGHBOURS), "neighbours")
@@ -387,7 +389,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return stored(components(links), "labels")
 
     labels = linked(_distinct_pairs(near.where(F.col("tree") < FIRST_TREES)), None)
-    found = stored(neighbours(_labelled(met, labels), NEIGHBOURS), "pairs_and_runs")
+    marked = stored(_labelled(met, labels), "labelled_classes")
+    found = stored(neighbours(marked, NEIGHBOURS), "pairs_and_runs")
     labels = linked(_distinct_pairs(found), labels)
     runs = found.where("run is not null").select("tree", "run").distinct()
     members = stored(_crowded(_labelled(met, labels), runs).join(sets, "class"), "crowded")

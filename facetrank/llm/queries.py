@@ -84,11 +84,16 @@ def op7_token_counts(
     return tokencount.token_counts(table(spark, sf_dir, "documents"), model)
 
 
-def token_files(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Digests of ``docs`` read back from token files written for them."""
+def token_files(
+    spark: SparkSession, docs: DataFrame, vocabulary: str | None = None, **options
+) -> DataFrame:
+    """Digests of ``docs`` read back from token files written for them.
+
+    ``options`` are those of ``tokenfile.write``.
+    """
     definition = Path(vocabulary or public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
     path = scratch_path(spark, "token_files")
-    tokenfile.write(docs, path, definition)
+    tokenfile.write(docs, path, definition, **options)
     return tokenfile.digests(spark, path)
 
 

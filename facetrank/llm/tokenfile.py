@@ -12,8 +12,9 @@ two ends, and the dictionary makes short frames small. Shards are rows of a
 Parquet folder with their bucket and place, so that every store that Spark
 writes to can hold them and Spark's committer keeps failed tasks out of it.
 
-Documents are encoded once, dealt out by ranges of doc_id, sorted and packed as a
-stream. ``start`` is the sum of earlier buckets plus the place in the bucket.
+Documents are encoded once, dealt out by ranges of their order (doc_id, or a key the
+caller gives), sorted and packed as a stream. ``start`` is the sum of earlier buckets
+plus the place in the bucket.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ import numpy as np
 import pyarrow as pa
 import tokenizers
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetrank.llm.common import freed_shuffles, hash_bounds, in_arrow, shuffle_partitions
+from facetrank.llm.words import parts_of
 
 MAGIC = b"TOKS1\n"
 HEAD = struct.Struct("<6sB32sQQ")
@@ -40,8 +42,9 @@ LEVEL = 3
 SAMPLE_DOCS = 1_000
 SAMPLE_DOC_BYTES = 32 << 10
 DICTIONARY_BYTES = 64 << 10
-_CACHED_WORDS = 600_000
-_DOCS_AT_ONCE = 256
+# Words whose ids a worker remembers; more only spare time.
+WORDS_KEPT = 600_000
+_TEXT_BYTES = 1 << 20
 _JOINED_WORDS = 256
 # A run of these after letters is a piece of its own.
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -109,7 +112,7 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Serialized ids of each text, without an end id."""
-        self.keep_words(_CACHED_WORDS)
+        self.keep_words(WORDS_KEPT)
         split = [[] if b"<|" in text else text.lower().split() for text in texts]
         ids = [list(map(self.words.get, words)) for words in split]
         gaps = [
@@ -143,23 +146,23 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def _with_ids(batches, definition: str):
-    """Batches of documents with their serialized ids, end id included."""
+def _with_ids(batches, definition: str, words_kept: int):
+    """Parts of batches with their serialized ids, end id included."""
     encoder = worker_encoder(definition)
     end = np.array([END_ID], encoder.kind).tobytes()
     for batch in batches:
-        for at in range(0, batch.num_rows, _DOCS_AT_ONCE):
-            part = batch.slice(at, _DOCS_AT_ONCE)
+        for part in parts_of(batch, 1, _TEXT_BYTES):
+            encoder.keep_words(words_kept)
             texts = part.column(1).to_pylist()
-            yield part.column(0), [ids + end for ids in encoder.encode(texts)], encoder.kind.itemsize
+            yield part, [ids + end for ids in encoder.encode(texts)], encoder.kind.itemsize
 
 
 def _sampler(definition):
     def run(batches):
-        for doc_ids, rows, _ in _with_ids(batches, definition.value):
+        for part, rows, _ in _with_ids(batches, definition.value, SAMPLE_DOCS):
             short = [ids if len(ids) <= SAMPLE_DOC_BYTES else None for ids in rows]
             yield pa.RecordBatch.from_arrays(
-                [doc_ids, pa.array(short, pa.binary())], ["doc_id", "ids"]
+                [part.column(0), pa.array(short, pa.binary())], ["doc_id", "ids"]
             )
 
     return run
@@ -181,24 +184,26 @@ def train_dictionary(docs: DataFrame, definition) -> bytes:
         return b""
 
 
-def _compressor(definition, dictionary, bounds):
+def _compressor(definition, dictionary, bounds, words_kept: int):
     def run(batches):
         data = _dictionary(dictionary.value)
         zstd = zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_checksum=False)
         edges = np.array(bounds.value, np.int64)
-        for doc_ids, rows, width in _with_ids(batches, definition.value):
-            known = np.array(doc_ids.is_valid())
-            ids = np.array(doc_ids.fill_null(0)).astype(np.int64)
-            buckets = np.where(known, np.searchsorted(edges, ids), 0)
+        for part, rows, width in _with_ids(batches, definition.value, words_kept):
+            place = part.column(2)
+            known = np.array(place.is_valid())
+            places = np.array(place.fill_null(0)).astype(np.int64)
+            buckets = np.where(known, np.searchsorted(edges, places), 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(buckets, pa.int32()),
-                    doc_ids,
+                    place,
+                    part.column(0),
                     pa.array([len(r) // width for r in rows], pa.int64()),
                     pa.array([width] * len(rows), pa.int32()),
                     pa.array(list(map(zstd.compress, rows)), pa.binary()),
                 ],
-                ["bucket", "doc_id", "n_tokens", "width", "frame"],
+                ["bucket", "place", "doc_id", "n_tokens", "width", "frame"],
             )
 
     return run
@@ -285,34 +290,49 @@ def _packer(dictionary):
     return run
 
 
-def _source(docs: DataFrame) -> DataFrame:
+def _source(docs: DataFrame, order: Column | None = None) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
+        (F.col("doc_id") if order is None else order).cast("bigint").alias("place"),
     )
 
 
-def write(docs: DataFrame, path: str, definition: str) -> None:
+def write(
+    docs: DataFrame,
+    path: str,
+    definition: str,
+    order: Column | None = None,
+    words_kept: int = WORDS_KEPT,
+) -> None:
     """Write ``docs`` as token files below ``path``, in ascending doc_id order.
 
     ``definition`` is the JSON text of a tokenizer of this kind. Null doc_ids come
     first; rows that repeat a doc_id stand side by side, ordered by their ids.
-    Null and empty texts are the end id alone. Other columns are ignored.
+    With ``order``, a bigint of the rows of ``docs``, rows follow it first, nulls
+    before all others, and then their doc_id. Null and empty texts are the end id
+    alone. Other columns are ignored. A worker remembers the ids of about
+    ``words_kept`` words, which costs it some 400 bytes each.
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     shared = spark.sparkContext.broadcast(definition)
     dictionary = spark.sparkContext.broadcast(train_dictionary(docs, shared))
+    source = _source(docs, order)
     quantiles = [i / parts for i in range(1, parts)] or [0.5]
-    found = docs.agg(F.percentile_approx(F.col("doc_id").cast("bigint"), quantiles)).first()[0]
+    found = source.agg(F.percentile_approx("place", quantiles)).first()[0]
     bounds = spark.sparkContext.broadcast(sorted(set(found or [])))
     frames = in_arrow(
-        _source(docs),
-        _compressor(shared, dictionary, bounds),
-        "bucket int, doc_id bigint, n_tokens bigint, width int, frame binary",
+        source,
+        _compressor(shared, dictionary, bounds, words_kept),
+        "bucket int, place bigint, doc_id bigint, n_tokens bigint, width int, frame binary",
     )
-    dealt = frames.repartition(parts, "bucket").sortWithinPartitions(
-        "bucket", F.col("doc_id").asc_nulls_first(), "n_tokens", "frame"
+    dealt = (
+        frames.repartition(parts, "bucket")
+        .sortWithinPartitions(
+            "bucket", F.asc_nulls_first("place"), F.asc_nulls_first("doc_id"), "n_tokens", "frame"
+        )
+        .drop("place")
     )
     with freed_shuffles(spark):
         in_arrow(dealt, _packer(dictionary), _SHARDS).write.parquet(f"{path}/shards")

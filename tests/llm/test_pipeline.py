@@ -109,3 +109,12 @@ def test_the_whole_is_its_stages_one_after_another(spark, corpus):
     assert {r.ids_crc32 for r in got if texts[r.doc_id] in (None, "")} <= {
         zlib.crc32((1).to_bytes(4, "little"))
     }
+
+
+def test_token_files_keep_the_order_of_the_mix(spark, corpus, tmp_path):
+    folder, texts = corpus
+    rows = [(i, f"text {i}") for i in range(100) for _ in range(8)]
+    random.Random(4).shuffle(rows)
+    documents(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/mix")
+    got = STAGES["token_files"](spark, spark.read.parquet(f"{tmp_path}/mix"), folder)
+    assert [r.doc_id for r in got.orderBy("start").collect()] == [i for i, _ in rows]

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from facetrank.llm import tokencount, tokenfile
@@ -60,6 +61,24 @@ def test_files_give_back_all_ids(spark):
     assert sorted(((r.doc_id, list(r.ids)) for r in tokenfile.read(spark, path).collect()), key=repr) == sorted(truth, key=repr)
 
 
+def test_files_follow_an_order_that_is_given(spark):
+    rng = random.Random(9)
+    rows = [(i // 3 if i % 50 else None, f"text {i // 3}") for i in range(900)]
+    path = scratch_path(spark, "tokens")
+    key = F.when(F.col("n") % 90 != 0, F.col("n"))
+    numbered = [(i, t, rng.randrange(500)) for i, t in rows]
+    docs = spark.createDataFrame(numbered, "doc_id bigint, text string, n bigint")
+    tokenfile.write(docs, path, DEFINITION, order=key, words_kept=3)
+    got = tokenfile.digests(spark, path).orderBy("start").collect()
+    first = lambda x: (x is not None, x or 0)
+    expected = sorted(numbered, key=lambda r: (first(r[2] if r[2] % 90 else None), first(r[0])))
+    assert [r.doc_id for r in got] == [i for i, _, _ in expected]
+    before = 0
+    for r in got:
+        assert r.start == before
+        before += r.n_tokens
+
+
 def test_short_documents_are_read_alone_and_use_the_dictionary(spark):
     rng = random.Random(6)
     rows = [(i, prose(rng, 30)) for i in range(600)]

@@ -13,12 +13,15 @@ dropped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from facetrank.llm import decontaminate, mixing, neardup, quality
 from facetrank.llm.common import stored, table
 from facetrank.llm.queries import token_files
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Workers of the last stage still hold memory of those before.
+WORDS_KEPT = 200_000
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -48,8 +51,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all copies, and what is read back from them."""
-    return token_files(spark, docs)
+    """Token files of all copies, in the order of the mix, and what is read back.
+
+    Rows follow their places in the files that the mix was written to, each of which
+    holds a range of its shuffled order. So copies of a document are far apart.
+    """
+    return token_files(spark, docs, order=F.monotonically_increasing_id(), words_kept=WORDS_KEPT)
 
 
 STAGES = [

@@ -2,9 +2,9 @@
 
 Orders are titles, part types genres, supplier nations countries and suppliers
 directors. Some titles have no crew, some directors no name row and some a NULL
-name, so that the variants of the reports differ. They are derived in one pass
-over the lines and stored once per application in the shared folder; every query
-then reads the stored tables.
+name, so that the variants of the reports differ. Each table is derived from the
+lines by itself, with the columns it needs, and stored in the shared folder when
+it is first used in an application; every query then reads the stored table.
 """
 
 from __future__ import annotations
@@ -14,59 +14,63 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetrank.schemas import TitleTables
+from facetrank.schemas import INPUTS, TitleTables
 from facetrank.session import scratch_database
-from facetrank.sinks.tables import drop_table, overwrite_table
+from facetrank.sinks.tables import overwrite_table
 
-ROWS_PER_BUCKET = 16_000_000
+# Lines of a bucket. Its titles are multiplied by their genres, countries and directors
+# in one task, so this bounds a task's memory whatever the number of lines.
+ROWS_PER_BUCKET = 500_000
 MIN_BUCKETS = 8
 
 # Which keys lack something.
 NO_CREW, NO_NAME_ROW, NULL_NAME = 11, 7, 13
 
-_stored: dict[tuple[str, str], TitleTables] = {}
-
-
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per title with everything its lines say about it.
+def _titles(spark: SparkSession, sf_dir: str, name: str, key: str, buckets: int, *columns) -> DataFrame:
+    """Rows of a table with their title, dealt as the buckets are."""
+    title = F.col(key).cast("string").alias("titleId")
+    return source(spark, sf_dir, name).select(title, *columns).repartition(buckets, "titleId")
+
+
+def _names_of(column: Column) -> Column:
+    return F.sort_array(F.collect_set(column))
 
-    Sets hold distinct values only and are built map-side first.
-    """
-    lines = source(spark, sf_dir, "lineitem")
-    parts = source(spark, sf_dir, "part").select("p_partkey", "p_type")
-    suppliers = source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nations = source(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    points = F.sum(F.round(F.col("l_discount") * 100).cast("long"))
-    count = F.count(F.lit(1))
-    supplier = F.col("l_suppkey").cast("string")
 
-    def names_of(column: Column) -> Column:
-        return F.sort_array(F.collect_set(column))
+def _repeated(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that are there more than once, and how often (``rows`` has a number ``_n`` each)."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("_n").alias("_n")).where("_n > 1")
 
+
+def genres(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    """(titleId, genres) of every title that has lines.
+
+    Parts grow with the lines, so they are merged and not broadcast; of the lines
+    only the two keys move.
+    """
+    parts = source(spark, sf_dir, "part").select("p_partkey", "p_type")
+    lines = source(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("titleId"), "l_partkey"
+    )
+    typed = lines.join(parts.hint("merge"), F.col("l_partkey") == F.col("p_partkey"), "left")
     return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .groupBy(F.col("l_orderkey").cast("string").alias("titleId"))
-        .agg(
-            names_of(F.col("p_type")).alias("genres"),
-            names_of(F.col("n_name")).alias("country"),
-            names_of(supplier).alias("directors"),
-            names_of(F.when(F.col("l_returnflag") == "R", supplier)).alias("writers"),
-            F.sum(F.col("l_quantity").cast("long")).alias("numVotes"),
-            points.alias("points"),
-            count.alias("lines"),
-        )
+        typed.select("titleId", "p_type")
+        .repartition(buckets, "titleId")
+        .groupBy("titleId")
+        .agg(_names_of(F.col("p_type")).alias("genres"))
     )
 
 
-def derive(spark: SparkSession, sf_dir: str, facts: DataFrame) -> TitleTables:
-    orders = source(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("titleId"),
+def basics(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    orders = _titles(
+        spark,
+        sf_dir,
+        "orders",
+        "o_orderkey",
+        buckets,
         F.col("o_orderstatus").alias("titleType"),
         F.col("o_orderpriority").alias("primaryTitle"),
         F.col("o_custkey").cast("string").alias("originalTitle"),
@@ -75,18 +79,61 @@ def derive(spark: SparkSession, sf_dir: str, facts: DataFrame) -> TitleTables:
         F.lit(None).cast("int").alias("endYear"),
         F.lit(None).cast("int").alias("runtimeMinutes"),
     )
-    uncredited = F.pmod(F.col("titleId").cast("bigint"), F.lit(NO_CREW)) == 0
-    key = F.col("s_suppkey")
+    return orders.join(genres(spark, sf_dir, buckets).hint("merge"), "titleId", "left")
+
+
+def ratings(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    """Mean discounts and summed quantities of each title.
+
+    A line counts as often as its part, its supplier and the supplier's nation are
+    listed. Keys listed twice are looked for first; where there are none, as in
+    clean tables, the lines are summed as they are.
+    """
+    nations = source(spark, sf_dir, "nation").groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("_nations"))
+    suppliers = (
+        source(spark, sf_dir, "supplier")
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .select("s_suppkey", F.coalesce("_nations", F.lit(1)).alias("_n"))
+    )
+    parts = source(spark, sf_dir, "part").select("p_partkey", F.lit(1).cast("bigint").alias("_n"))
+    lines = source(spark, sf_dir, "lineitem").withColumn("_times", F.lit(1).cast("bigint"))
+    for rows, own, key in ((parts, "p_partkey", "l_partkey"), (suppliers, "s_suppkey", "l_suppkey")):
+        twice = _repeated(rows, own)
+        if not twice.isEmpty():
+            lines = lines.join(twice, F.col(key) == F.col(own), "left")
+            lines = lines.withColumn("_times", F.col("_times") * F.coalesce("_n", F.lit(1))).drop(own, "_n")
+    points = F.round(F.col("l_discount") * 100).cast("long") * F.col("_times")
+    # Sums are small, so they are taken before the rows are dealt.
+    summed = lines.groupBy(F.col("l_orderkey").cast("string").alias("titleId")).agg(
+        F.sum(F.col("l_quantity").cast("long") * F.col("_times")).alias("numVotes"),
+        F.sum(points).alias("points"),
+        F.sum("_times").alias("lines"),
+    )
     # Mean discount in percent, rounded half up to one decimal in integers.
     tenths = F.expr("(20 * points + lines) div (2 * lines)")
+    return summed.select("titleId", (tenths / F.lit(10.0)).alias("rating"), "numVotes").repartition(
+        buckets, "titleId"
+    )
+
+
+def crew(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    """Suppliers of each title, and those of its returned lines; as numbers until the end."""
+
+    def ids(numbers: Column) -> Column:
+        return F.sort_array(F.transform(F.collect_set(numbers), lambda n: n.cast("string")))
+
+    lines = _titles(spark, sf_dir, "lineitem", "l_orderkey", buckets, "l_suppkey", "l_returnflag")
+    returned = F.when(F.col("l_returnflag") == "R", F.col("l_suppkey"))
+    uncredited = F.pmod(F.col("titleId").cast("bigint"), F.lit(NO_CREW)) == 0
+    found = lines.groupBy("titleId").agg(ids(F.col("l_suppkey")).alias("directors"), ids(returned).alias("writers"))
+    return found.select("titleId", F.when(~uncredited, F.col("directors")).alias("directors"), "writers")
+
+
+def names(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    key = F.col("s_suppkey")
     no_names = F.lit(None).cast("array<string>")
-    return TitleTables(
-        basics=orders.join(facts.select("titleId", "genres"), "titleId", "left"),
-        ratings=facts.select("titleId", (tenths / F.lit(10.0)).alias("rating"), "numVotes"),
-        crew=facts.select(
-            "titleId", F.when(~uncredited, F.col("directors")).alias("directors"), "writers"
-        ),
-        names=source(spark, sf_dir, "supplier")
+    return (
+        source(spark, sf_dir, "supplier")
         .where(key % NO_NAME_ROW != 0)
         .select(
             key.cast("string").alias("nameId"),
@@ -95,9 +142,30 @@ def derive(spark: SparkSession, sf_dir: str, facts: DataFrame) -> TitleTables:
             F.lit(None).cast("int").alias("deathYear"),
             no_names.alias("primaryProfession"),
             no_names.alias("knownForTitles"),
-        ),
-        countries=facts.select("titleId", "country").where(F.size("country") > 0),
+        )
+        .repartition(buckets, "nameId")
+    )
+
+
+def countries(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    """Nations of each title's suppliers; titles without any are left out."""
+    nations = source(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    suppliers = source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    lines = source(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("titleId"), "l_suppkey"
     )
+    return (
+        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+        .where("n_name is not null")
+        .select("titleId", "n_name")
+        .repartition(buckets, "titleId")
+        .groupBy("titleId")
+        .agg(_names_of(F.col("n_name")).alias("country"))
+    )
+
+
+DERIVED = {"basics": basics, "ratings": ratings, "crew": crew, "names": names, "countries": countries}
 
 
 def bucket_count(spark: SparkSession, sf_dir: str) -> int:
@@ -106,42 +174,50 @@ def bucket_count(spark: SparkSession, sf_dir: str) -> int:
     return max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))
 
 
-def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
-    """Derive and store the inputs, bucketed by their join keys.
+class LazyTitles:
+    """The inputs, as :class:`TitleTables`; each is derived and stored when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._buckets = bucket_count(spark, sf_dir)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in INPUTS:
+            raise AttributeError(name)
+        table = store_input(self._spark, self._sf_dir, name, self._buckets)
+        setattr(self, name, table)
+        return table
 
-    The tables are replaced; frames of an earlier call go on reading its version.
+
+def store_input(spark: SparkSession, sf_dir: str, name: str, buckets: int) -> DataFrame:
+    """Derive and store one input, bucketed by its join key.
+
+    The table is replaced; frames of an earlier call go on reading its version.
     """
-    database = scratch_database(spark)
-    buckets = bucket_count(spark, sf_dir)
     mark = zlib.crc32(f"{spark.sparkContext.applicationId} {sf_dir}".encode())
+    return overwrite_table(
+        DERIVED[name](spark, sf_dir, buckets),
+        f"{name}_{mark:08x}",
+        scratch_database(spark),
+        bucket_by=INPUTS[name].key,
+        buckets=buckets,
+        # Derived rows are dealt as the buckets are.
+        clustered=True,
+    )
 
-    def store(name: str, df: DataFrame, key: str, clustered: bool) -> DataFrame:
-        return overwrite_table(
-            df,
-            f"{name}_{mark:08x}",
-            database,
-            bucket_by=key,
-            buckets=buckets,
-            clustered=clustered,
-        )
 
-    facts = store("facts", line_facts(spark, sf_dir), "titleId", False)
-    derived = derive(spark, sf_dir, facts)
-    stored = TitleTables(
-        basics=store("basics", derived.basics, "titleId", False),
-        ratings=store("ratings", derived.ratings, "titleId", True),
-        crew=store("crew", derived.crew, "titleId", True),
-        names=store("names", derived.names, "nameId", False),
-        countries=store("countries", derived.countries, "titleId", True),
-    )
-    # Its columns are in the other tables now.
-    drop_table(spark, f"facts_{mark:08x}", database)
-    return stored
+def store_inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
+    """Derive and store all inputs."""
+    buckets = bucket_count(spark, sf_dir)
+    return TitleTables(**{name: store_input(spark, sf_dir, name, buckets) for name in INPUTS})
+
+
+_stored: dict[tuple[str, str], LazyTitles] = {}
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> TitleTables:
-    """The stored inputs; derived on first use in an application."""
+def inputs(spark: SparkSession, sf_dir: str) -> LazyTitles:
+    """The stored inputs; each is derived on first use in an application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = store_inputs(spark, sf_dir)
+        _stored[key] = LazyTitles(spark, sf_dir)
     return _stored[key]

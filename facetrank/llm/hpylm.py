@@ -250,9 +250,8 @@ def seat(customers, prior, at, others, strength, discount, rng, burn_in, kept):
 
     ``customers`` and ``prior`` (the parent's probability) are per cell, ``at`` is
     the cell's restaurant, ``others`` the tables of a restaurant that are not
-    sampled here. A sweep reseats ``2 * sqrt(customers)`` of a cell's customers,
-    chosen at random, at least all of them for up to four. Returns the mean number of tables
-    per cell over the kept sweeps.
+    sampled here. A sweep reseats every customer of every cell once, in random order.
+    Returns the mean number of tables per cell over the kept sweeps.
     """
     if len(customers) == 0:
         return np.zeros(0)
@@ -275,38 +274,69 @@ def seat(customers, prior, at, others, strength, discount, rng, burn_in, kept):
             sizes = np.zeros((len(part), wide))
             sizes[:, :] = np.arange(wide)[None, :] < tables[part][:, None]
             sizes[:, 0] += customers[part] - tables[part]
-            states.append([part, sizes, int(np.ceil(2 * np.sqrt(2.0**size)))])
+            states.append([part, sizes])
             first = last
     mean = np.zeros(len(customers))
     for sweep in range(burn_in + kept):
         total = others + np.bincount(at, tables, len(others))
         weight = (strength + discount * total[at]) * prior
         for state in states:
-            part, sizes, moves = state
-            state[1] = _moves(sizes, customers[part], weight[part], discount, moves, rng)
+            part, sizes = state
+            state[1] = _sweep(sizes, customers[part], weight[part], discount, rng)
             tables[part] = (state[1] > 0).sum(1)
         if sweep >= burn_in:
             mean += tables / kept
     return mean
 
 
-def _moves(sizes, customers, weight, discount, moves, rng):
-    rows = np.arange(len(sizes))
-    for _ in range(moves):
-        leaving = rng.random(len(rows)) * customers
-        table = (np.cumsum(sizes, 1) <= leaving[:, None]).sum(1).clip(max=sizes.shape[1] - 1)
-        sizes[rows, table] -= 1
-        pull = np.cumsum(np.where(sizes > 0, sizes - discount, 0.0), 1)
-        choice = rng.random(len(rows)) * (pull[:, -1] + weight)
+def _sweep(sizes, customers, weight, discount, rng):
+    """Every customer of every cell leaves its table and sits down again once, in random order.
+
+    A customer that sits down where it sat changes nothing. So of a cell's customers
+    whose turn is still to come, the first that will sit down elsewhere is drawn
+    directly, with how many of each table had their turn before it: turns are at
+    uniform times, and until that one the probabilities stay as they are. A step
+    moves one customer of each cell; a cell whose other customers all stay is done.
+    """
+    waiting = sizes.astype(np.int64)
+    cells = np.arange(len(sizes))
+    while len(cells):
+        n, turns, opening, total = sizes[cells], waiting[cells], weight[cells], customers[cells]
+        alone = n == 1
+        stay = np.where(alone, opening[:, None], n - 1 - discount)
+        places = (total - 1 + opening)[:, None] - discount * ((n > 0).sum(1)[:, None] - alone)
+        moving = np.clip(np.where(turns > 0, 1 - stay / places, 0.0), 0.0, 1.0)
+        with np.errstate(divide="ignore"):
+            time = -np.expm1(np.log(rng.random(n.shape)) / np.maximum(turns, 1))
+            time = np.where(moving > 0, time / np.where(moving > 0, moving, 1.0), np.inf)
+        first = time.argmin(1)
+        going = np.flatnonzero(time.min(1) < 1)
+        cells, n, turns, moving = cells[going], n[going], turns[going], moving[going]
+        if len(cells) == 0:
+            break
+        first, opening, rows = first[going], opening[going], np.arange(len(going))
+        now = time[going, first][:, None]
+        turns[rows, first] -= 1
+        had_turn = now * (1 - moving) / np.maximum(1 - moving * now, 1e-300)
+        waiting[cells] = turns - rng.binomial(turns, np.clip(had_turn, 0.0, 1.0))
+        n[rows, first] -= 1
+        pull = np.where(n > 0, n - discount, 0.0)
+        pull[rows, first] = 0.0
+        pull = np.cumsum(pull, 1)
+        # Who left a table empty and opens one sits where it sat.
+        opening = np.where(n[rows, first] > 0, opening, 0.0)
+        choice = rng.random(len(rows)) * (pull[:, -1] + opening)
         table = (pull <= choice[:, None]).sum(1)
-        opens = np.flatnonzero(table == sizes.shape[1])
+        beyond = table == n.shape[1]
+        rounded = np.flatnonzero(beyond & (opening == 0))
+        table[rounded] = (pull[rounded] >= pull[rounded, -1:]).argmax(1)
+        opens = np.flatnonzero(beyond & (opening > 0))
         if len(opens):
-            empty = sizes[opens] == 0
-            if not empty.any(1).all():
-                sizes = np.hstack([sizes, np.zeros_like(sizes)])
-                empty = sizes[opens] == 0
-            table[opens] = empty.argmax(1)
-        sizes[rows, table] += 1
+            if not (n[opens] == 0).any(1).all():
+                n, sizes, waiting = (np.hstack([x, np.zeros_like(x)]) for x in (n, sizes, waiting))
+            table[opens] = (n[opens] == 0).argmax(1)
+        n[rows, table] += 1
+        sizes[cells] = n
     return sizes
 
 
@@ -660,9 +690,10 @@ def scores(docs: DataFrame) -> DataFrame:
     }
     # Round two: seating under the new parent, averaged into the scores.
     again = stored(again, "word_tables")
-    told, corpus = _priors(again, "parent_words")
-    for done in (grouped, sampled, again):
+    for done in (grouped, sampled):
         discard(done)
+    told, corpus = _priors(again, "parent_words")
+    discard(again)
     model = model | {"tokens": corpus["tokens"], "words": corpus["words"], "hot": _hot_table(totals)}
     partial = packed.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(_scored(model), _BLOCKS)
     per_row = stored(partial.groupBy("block").applyInArrow(_block_sums, _SCORES), "row_scores")

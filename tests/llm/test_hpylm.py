@@ -109,6 +109,29 @@ def test_seating_has_the_right_mean(c, discount, prior):
     assert abs(got - exact_tables(c, a, discount, 0.0)) / got < 0.03
 
 
+def mean_tables(c, weight, discount, most=80):
+    """As ``exact_tables`` with one weight, for many customers of few tables."""
+    share = np.zeros(most)
+    share[0] = 1.0
+    tables = np.arange(1, most + 1)
+    for n in range(1, c):
+        share = share * (n - discount * tables).clip(0) + weight * np.r_[0.0, share[:-1]]
+        share /= share.sum()
+    return (share * tables).sum()
+
+
+@pytest.mark.parametrize(("c", "discount", "weight"), [(600, 0.7, 0.5), (20_000, 0.8, 1.0)])
+def test_few_sweeps_reseat_all_customers_of_a_large_cell(c, discount, weight):
+    """A sweep moves every customer, whatever the size of the cell."""
+    n, others = 2_000, 1e7
+    prior = weight / (discount * others)
+    got = hpylm.seat(
+        np.full(n, float(c)), np.full(n, prior), np.arange(n), np.full(n, others), 1.0, discount,
+        np.random.default_rng(5), 4, 3
+    ).mean()
+    assert abs(got - mean_tables(c, weight, discount)) / got < 0.03
+
+
 def test_packing_gives_back_all_entries():
     rng = np.random.default_rng(0)
     u, w = rng.integers(1 << 60, size=50, dtype=np.uint64)[rng.integers(50, size=(2, 4_000))]

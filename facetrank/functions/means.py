@@ -280,11 +280,17 @@ def weighted_mean(
     name: str,
     digits: int | None = None,
     scale: int | None = None,
+    explode: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per group with sum(value * weight) / sum(weight).
 
     ``digits`` rounds half up. Partial sums are taken before the shuffle, so a
-    group holding most of the rows sends one row per task and bin.
+    group holding most of the rows sends one row per task and bin. ``explode``
+    makes the columns ``by`` out of other columns of ``df``, a row becoming
+    several; it is given rows that are weighed, so that each is weighed once.
     """
-    parts = weigh(df.select(*by, value, weight), value, weight, scale)
+    rows = df.select(*by, value, weight) if explode is None else df
+    parts = weigh(rows, value, weight, scale)
+    if explode is not None:
+        parts = explode(parts)
     return sums_of(parts, by, scale).select(*by, mean_from_sums(digits).alias(name))

@@ -86,21 +86,23 @@ def joined_text(column: str, name: str, sep: str = "|") -> Column:
     return F.array_join(column, sep).alias(name)
 
 
-def genre_rows(t: TitleTables) -> DataFrame:
-    """(country, genre, rating, numVotes) of all eligible titles."""
+def genre_titles(t: TitleTables) -> DataFrame:
+    """(genres, country, rating, numVotes) of all eligible titles."""
     titles = star_join(
         eligible_titles(t.basics, STAGED),
         t.countries,
         t.ratings.select("titleId", "rating", "numVotes"),
         key="titleId",
     )
-    return explode_facets(
-        titles.drop("titleId"), {"genres": "genre", "country": "country"}, {"genre": ["PROMO"]}
-    )
+    return titles.drop("titleId")
+
 
+def by_genre(titles: DataFrame) -> DataFrame:
+    return explode_facets(titles, {"genres": "genre", "country": "country"}, {"genre": ["PROMO"]})
 
-def director_rows(t: TitleTables) -> DataFrame:
-    """(country, genre, director, rating, numVotes) of all eligible titles."""
+
+def director_titles(t: TitleTables) -> DataFrame:
+    """(genres, country, directors, rating, numVotes) of all eligible titles."""
     titles = star_join(
         eligible_titles(t.basics, STAGED),
         t.countries,
@@ -108,20 +110,32 @@ def director_rows(t: TitleTables) -> DataFrame:
         t.ratings.select("titleId", "rating", "numVotes"),
         key="titleId",
     )
+    return titles.drop("titleId")
+
+
+def by_director(titles: DataFrame) -> DataFrame:
     return explode_facets(
-        titles.drop("titleId"),
+        titles,
         {"genres": "genre", "country": "country", "directors": "director"},
         {"genre": ["PROMO"]},
     )
 
 
 def genre_means(t: TitleTables) -> DataFrame:
-    return weighted_mean(genre_rows(t), GROUP, "rating", "numVotes", "mean_rating")
+    return weighted_mean(
+        genre_titles(t), GROUP, "rating", "numVotes", "mean_rating", explode=by_genre
+    )
 
 
 def director_means(t: TitleTables, digits: int | None = None) -> DataFrame:
     return weighted_mean(
-        director_rows(t), TRIPLE, "rating", "numVotes", "mean_rating", digits=digits
+        director_titles(t),
+        TRIPLE,
+        "rating",
+        "numVotes",
+        "mean_rating",
+        digits=digits,
+        explode=by_director,
     )
 
 
@@ -266,7 +280,12 @@ def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("insert_overwrite")
 def insert_overwrite_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     winners = plans.best_director(inputs(spark, sf_dir), STAGED)
-    by_other_name = winners.withColumnRenamed("weighted_rating", "rating")
+    # Worked out once, for both inserts.
+    path = scratch_path(spark, "winners")
+    winners.write.parquet(path)
+    by_other_name = spark.read.schema(winners.schema).parquet(path).withColumnRenamed(
+        "weighted_rating", "rating"
+    )
     stale = by_other_name.withColumn("director_name", F.lit("old"))
     database, table = scratch_database(spark), scratch_name("best_director")
     for rows in (stale, by_other_name):
@@ -473,8 +492,8 @@ def tokenize_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sum_product")
 def sum_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = genre_rows(inputs(spark, sf_dir)).select("country", "rating", "numVotes")
-    sums = sums_of(weigh(rows, "rating", "numVotes"), ["country"])
+    titles = weigh(genre_titles(inputs(spark, sf_dir)), "rating", "numVotes")
+    sums = sums_of(by_genre(titles), ["country"])
     return sums.select(
         "country",
         F.col(WEIGHT).cast("bigint").alias("votes"),

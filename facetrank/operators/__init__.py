@@ -1,6 +1,6 @@
 """DataFrame-to-DataFrame operators, generic in the column names."""
 
-from facetrank.operators.explode import explode_facets, tokenize_facets
+from facetrank.operators.explode import deal, explode_facets, tokenize_facets
 from facetrank.operators.filters import drop_missing, keep_filled, without_values
 from facetrank.operators.gather import collect_sorted, distinct_values, group_max
 from facetrank.operators.joins import look_up, new_rows, star_join
@@ -17,6 +17,7 @@ from facetrank.operators.ranking import (
 __all__ = [
     "argmax_ties",
     "collect_sorted",
+    "deal",
     "distinct_values",
     "drop_missing",
     "explode_facets",

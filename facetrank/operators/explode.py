@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facetrank.functions.cells import tokenize
@@ -31,6 +31,19 @@ def explode_facets(
     return df
 
 
+def deal(df: DataFrame, key: Column) -> DataFrame:
+    """The same rows, those of one ``key`` side by side, in tasks of about equal bytes.
+
+    For sums over combinations of several facets, of which one has many items: what
+    is dealt by it before the other facets multiply it combines in its task, so partial
+    sums stay near the number of groups. Adaptive execution sizes the tasks by what
+    was shuffled, and splits a key that would fill more than one. So rows are dealt by
+    a hash: sums by the key itself would do without a shuffle of their own, and that
+    would keep a key whole.
+    """
+    return df.withColumn("_dealt", F.xxhash64(key)).hint("rebalance", F.col("_dealt")).drop("_dealt")
+
+
 def tokenize_facets(df: DataFrame, facets: dict[str, str], sep: str = ITEM_SEP) -> DataFrame:
     """Like :func:`explode_facets` for delimited text; empty tokens are dropped."""
     for text in facets:

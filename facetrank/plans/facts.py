@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from facetrank.functions.means import mean_from_sums, sums_of, weigh
 from facetrank.operators import (
+    deal,
     drop_missing,
     explode_facets,
     keep_filled,
@@ -78,9 +79,9 @@ def genre_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
 
 def director_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     """(country, genre, director, weighted_rating)."""
-    facets = FACETS | {"directors": "director"}
     by = ["country", "genre", "director"]
-    rows = explode_by_rules(credited_titles(tables, rules), facets, rules)
+    credits = explode_by_rules(credited_titles(tables, rules), {"directors": "director"}, rules)
+    rows = explode_by_rules(deal(credits, F.col("director")), FACETS, rules)
     return sums_of(rows, by, rules.scale).select(
         *by, mean_from_sums(rules.director_digits).alias("weighted_rating")
     )
@@ -92,7 +93,8 @@ def facet_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     (country, genre, is_genre, director, mean): each title counts once in the
     row of its genre (``is_genre``, director NULL) and once for each director.
     The genre's own place is put in front of the director list before the
-    explode, so both come out of one star join and one aggregation.
+    explode, so both come out of one star join and one aggregation. Places are
+    dealt by director before genres and countries multiply them.
     """
     crew = tables.crew.select("titleId", "directors")
     titles = rated_titles(tables, rules)
@@ -112,11 +114,11 @@ def facet_means(tables: TitleTables, rules: FacetRules) -> DataFrame:
     if rules.drop_empty_items:
         directors = F.array_remove(directors, "")
     own_place = F.when(F.col("_own"), F.array(F.lit(None).cast("string"))).otherwise(no_items)
-    rows = explode_by_rules(
-        titles.withColumn("directors", F.concat(own_place, directors)), FACETS, rules
-    )
-    kept = [c for c in rows.columns if c != "directors"]
-    rows = rows.select(*kept, F.posexplode("directors").alias("_place", "director"))
+    kept = [c for c in titles.columns if c != "directors"]
+    places = F.posexplode(F.concat(own_place, directors)).alias("_place", "director")
+    places = titles.select(*kept, places)
+    # A genre's own places have no director: they are dealt by title.
+    rows = explode_by_rules(deal(places, F.coalesce("director", "titleId")), FACETS, rules)
     sums = sums_of(
         rows.withColumn("is_genre", F.col("_own") & (F.col("_place") == 0)),
         ["country", "genre", "is_genre", "director"],

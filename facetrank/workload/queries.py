@@ -21,6 +21,7 @@ from facetrank.functions.means import PRODUCT, WEIGHT, sums_of, weigh
 from facetrank.operators import (
     argmax_ties,
     collect_sorted,
+    deal,
     distinct_values,
     drop_missing,
     explode_facets,
@@ -114,11 +115,7 @@ def director_titles(t: TitleTables) -> DataFrame:
 
 
 def by_director(titles: DataFrame) -> DataFrame:
-    return explode_facets(
-        titles,
-        {"genres": "genre", "country": "country", "directors": "director"},
-        {"genre": ["PROMO"]},
-    )
+    return by_genre(deal(explode_facets(titles, {"directors": "director"}), F.col("director")))
 
 
 def genre_means(t: TitleTables) -> DataFrame:

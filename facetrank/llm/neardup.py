@@ -14,7 +14,8 @@ label from then on, and only pairs of different labels are looked for:
 
 1. next neighbours in the first trees;
 2. neighbours up to ``NEIGHBOURS`` places apart in all trees, among the classes
-   that have a neighbour at all;
+   that have a neighbour at all; classes carry the sizes of ``BUCKETS`` parts of their
+   sets, and a pair whose parts cannot have enough in common is not listed;
 3. classes in runs of more rows than that with one prefix and several labels:
    an exact join on the rarest shingles, so that no pair of a run is missed.
 """
@@ -40,6 +41,8 @@ LEAST_DEPTH = 3
 SORTED_DEPTH = 10
 NEIGHBOURS = 8
 FIRST_TREES = 4
+# Parts of a set by a hash; the smaller sizes of two sets add up to what they can share.
+BUCKETS = 128
 ROWS_PER_TASK = 50_000
 _MATRIX_ROWS = 4_096
 _PART_BYTES = 1 << 20
@@ -100,6 +103,12 @@ def _split(values: np.ndarray, counts: np.ndarray):
     return [values[end - n : end] for end, n in zip(ends.tolist(), counts.tolist(), strict=True)]
 
 
+def sketch_of(values: np.ndarray) -> bytes | None:
+    """How many shingles of a set fall into each bucket, a byte each; None if one has more."""
+    sizes = np.bincount((values >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
+    return sizes.astype(np.uint8).tobytes() if sizes.max() < 256 else None
+
+
 def _sign(batches):
     for batch in batches:
         for part in parts_of(batch, 1, _PART_BYTES):
@@ -129,25 +138,52 @@ def _sets(batches):
                 if hashlib.md5(own.tobytes()).digest() == wanted
             ]
             classes, sets = zip(*right, strict=True) if right else ((), ())
+            sketches = [sketch_of(own.view(np.uint64)) for own in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-                ["class", "shingles"],
+                [
+                    pa.array(classes, pa.binary()),
+                    pa.array(sets, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.binary()),
+                ],
+                ["class", "shingles", "sketch"],
             )
 
 
-_NEIGHBOURS = "a binary, b binary, tree int, run binary, key binary, label binary"
+_NEIGHBOURS = "a binary, b binary, tree int, run binary, key binary, label binary, sketch binary"
 _PREFIX = 4 * LEAST_DEPTH
 
 
 def _pairs_of(rows, fresh: int, reach: int):
-    """Pairs of ``rows (tree, key, class, label)``, in order, that reach into the last ``fresh``."""
+    """Places ``(i, j)`` in ``rows (tree, key, class, label, sketch)``, in order, of the pairs
+    that reach into the last ``fresh``."""
     for j in range(len(rows) - fresh, len(rows)):
-        tree, key, node, label = rows[j]
+        tree, key, node, label, _ = rows[j]
         for i in range(j - 1, max(-1, j - 1 - reach), -1):
             if rows[i][0] != tree or rows[i][1][:_PREFIX] != key[:_PREFIX]:
                 break
             if (rows[i][3] or rows[i][2]) != (label or node):
-                yield rows[i][2], node, tree, None, None, None
+                yield i, j
+
+
+def possible(rows, pairs, percent: int):
+    """Those of ``pairs`` that can be similar enough by their sketches; without one, any can.
+
+    Two sets share at most the smaller of both sizes in each bucket, so no link is lost.
+    """
+    if not pairs:
+        return []
+    none = bytes(BUCKETS)
+    sizes = np.frombuffer(b"".join(row[4] or none for row in rows), np.uint8).reshape(-1, BUCKETS)
+    total = sizes.sum(axis=1, dtype=np.int64)
+    known = total > 0
+    kept = []
+    for at in range(0, len(pairs), _MATRIX_ROWS):
+        i, j = np.array(pairs[at : at + _MATRIX_ROWS]).T
+        common = np.minimum(sizes[i], sizes[j]).sum(axis=1, dtype=np.int64)
+        can = 100 * common >= percent * (total[i] + total[j] - common)
+        can |= ~(known[i] & known[j])
+        kept += list(zip(i[can].tolist(), j[can].tolist(), strict=True))
+    return kept
 
 
 def _long_runs(rows, fresh: int, reach: int):
@@ -159,15 +195,15 @@ def _long_runs(rows, fresh: int, reach: int):
 
 
 def _neighbour_batch(rows):
-    columns = list(zip(*rows, strict=True)) or [()] * 6
-    kinds = [pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows, strict=True)) or [()] * 7
+    kinds = [pa.int32() if k == 2 else pa.binary() for k in range(7)]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-        ["a", "b", "tree", "run", "key", "label"],
+        ["a", "b", "tree", "run", "key", "label", "sketch"],
     )
 
 
-def _neighbours(reach: int, across: bool):
+def _neighbours(reach: int, percent: int, across: bool):
     """Sorted rows to candidate pairs, long runs, and the rows at both ends of the task.
 
     With ``across``, the rows are such ends of all tasks, and no ends are given.
@@ -180,10 +216,13 @@ def _neighbours(reach: int, across: bool):
             rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
             edges += rows[: max(0, kept - seen)]
             together = held + rows
-            found = list(_pairs_of(together, len(rows), reach))
+            pairs = possible(together, list(_pairs_of(together, len(rows), reach)), percent)
+            found = [
+                (together[i][2], together[j][2], together[j][0], None, None, None, None) for i, j in pairs
+            ]
             for long in dict.fromkeys(_long_runs(together, len(rows), reach)):
                 if long != last:
-                    found.append((None, None, long[0], long[1], None, None))
+                    found.append((None, None, long[0], long[1], None, None, None))
                     last = long
             yield _neighbour_batch(found)
             seen += len(rows)
@@ -191,16 +230,20 @@ def _neighbours(reach: int, across: bool):
         if not across:
             # Both ends of a short task overlap; no row is listed twice.
             edges += held[max(0, 2 * kept - seen) :] if seen > kept else []
-            yield _neighbour_batch([(node, None, tree, None, key, label) for tree, key, node, label in edges])
+            yield _neighbour_batch(
+                [(node, None, tree, None, key, label, sketch) for tree, key, node, label, sketch in edges]
+            )
 
     return run
 
 
 def _in_trees(classes: DataFrame) -> DataFrame:
-    """A row ``(tree, key, class, label)`` per class and tree; a class's own label is null."""
+    """A row ``(tree, key, class, label, sketch)`` per class and tree; a class's own label is null."""
     width = 4 * DEPTH
+    if "sketch" not in classes.columns:
+        classes = classes.withColumn("sketch", F.lit(None).cast("binary"))
     return classes.select(
-        "class", "label", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+        "class", "label", "sketch", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     ).select(
         "tree",
         F.expr(
@@ -208,14 +251,16 @@ def _in_trees(classes: DataFrame) -> DataFrame:
         ).alias("key"),
         "class",
         F.when(F.col("label") != F.col("class"), F.col("label")).alias("label"),
+        "sketch",
     )
 
 
-def neighbours(classes: DataFrame, reach: int) -> DataFrame:
+def neighbours(classes: DataFrame, reach: int, percent: int = PERCENT) -> DataFrame:
     """Pairs ``(a, b, tree)`` of classes of different labels, and long runs ``(tree, run)``.
 
-    Pairs are at most ``reach`` places apart in the order of the tree; a long run
-    has more than ``reach + 1`` rows with one prefix.
+    Pairs are at most ``reach`` places apart in the order of the tree, and not ruled out
+    by their sketches, where ``classes`` have any; a long run has more than ``reach + 1``
+    rows with one prefix.
     """
     order = ["tree", "key", "class"]
     tasks = min(shuffle_partitions(classes.sparkSession), 1 + TREES * classes.count() // ROWS_PER_TASK)
@@ -224,15 +269,15 @@ def neighbours(classes: DataFrame, reach: int) -> DataFrame:
         .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
     )
-    found = stored(in_arrow(dealt, _neighbours(reach, False), _NEIGHBOURS), "neighbours")
+    found = stored(in_arrow(dealt, _neighbours(reach, percent, False), _NEIGHBOURS), "neighbours")
     # A few rows per task; only they move.
     edges = (
         found.where("key is not null")
-        .select("tree", "key", F.col("a").alias("class"), "label")
+        .select("tree", "key", F.col("a").alias("class"), "label", "sketch")
         .repartition(1)
         .sortWithinPartitions(*order)
     )
-    return found.where("key is null").unionByName(in_arrow(edges, _neighbours(reach, True), _NEIGHBOURS))
+    return found.where("key is null").unionByName(in_arrow(edges, _neighbours(reach, percent, True), _NEIGHBOURS))
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -377,7 +422,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         in_arrow(
             source.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("class", "text"),
             _sets,
-            "class binary, shingles array<bigint>",
+            "class binary, shingles array<bigint>, sketch binary",
         ).dropDuplicates(["class"]),
         "shingle_sets",
     )
@@ -389,11 +434,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return stored(components(links), "labels")
 
     labels = linked(_distinct_pairs(near.where(F.col("tree") < FIRST_TREES)), None)
-    marked = stored(_labelled(met, labels), "labelled_classes")
-    found = stored(neighbours(marked, NEIGHBOURS), "pairs_and_runs")
+    marked = _labelled(met, labels).join(sets.select("class", "sketch"), "class", "left")
+    found = stored(neighbours(stored(marked, "labelled_classes"), NEIGHBOURS, percent), "pairs_and_runs")
     labels = linked(_distinct_pairs(found), labels)
     runs = found.where("run is not null").select("tree", "run").distinct()
-    members = stored(_crowded(_labelled(met, labels), runs).join(sets, "class"), "crowded")
+    members = stored(_crowded(_labelled(met, labels), runs).join(sets.drop("sketch"), "class"), "crowded")
     labels = linked(exact_pairs(members, percent), labels)
     rows = stored(
         signed.select("doc_id", "n_shingles", "class")

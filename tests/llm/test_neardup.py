@@ -3,6 +3,9 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 from facetrank.llm import neardup
 from facetrank.llm.components import components
 from tests.llm.fixtures import documents, odd_texts, prose, tuples
@@ -150,3 +153,51 @@ def test_components_of_chains_stars_and_loops(spark):
     got = dict(tuples(components(spark.createDataFrame(edges, "a bigint, b bigint")), "node", "label"))
     truth = {i: 0 for i in range(301)} | {1_000 + i: 1_000 for i in range(301)} | {7_000: 7_000, 7_001: 7_000}
     assert got == truth
+
+
+def test_sketches_rule_out_no_link_and_most_others():
+    rng = np.random.default_rng(4)
+    groups, wanted = [], set()
+    for n in (3, 40, 150, 700):
+        base = rng.integers(1 << 63, size=n, dtype=np.uint64)
+        for changed in np.linspace(0, 0.6, 40):
+            own = rng.integers(1 << 63, size=int(changed * n), dtype=np.uint64)
+            groups.append(np.unique(np.concatenate([own, base[len(own) :]])))
+    groups.append(rng.integers(1 << 63, size=60_000, dtype=np.uint64))  # too many for a byte each
+    rows = [(0, b"", k, None, neardup.sketch_of(values)) for k, values in enumerate(groups)]
+    pairs = [(i, j) for j in range(len(rows)) for i in range(j)]
+    for i, j in pairs:
+        common = len(np.intersect1d(groups[i], groups[j]))
+        if 100 * common >= 75 * (len(groups[i]) + len(groups[j]) - common):
+            wanted.add((i, j))
+    kept = set(neardup.possible(rows, pairs, 75))
+    assert rows[-1][4] is None and {(i, len(rows) - 1) for i in range(len(rows) - 1)} <= kept
+    others = {pair for pair in kept - wanted if pair[1] < len(rows) - 1}
+    assert wanted and wanted <= kept and len(others) < len(pairs) // 20
+
+
+def test_few_candidates_in_a_crowded_region(spark):
+    # Half of each text is common to all: neighbours in the orders, but no links.
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(80)]
+    texts = [" ".join(common + [f"o{k}_{i}" for i in range(50)]) for k in range(300)]
+    columns = zip(*[(str(k).encode(), text.encode()) for k, text in enumerate(texts)], strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["doc_id", "text"])
+    values, counts = neardup.shingle_sets(batch.column(1))
+    signed = neardup.signatures(values, counts)
+    names = [str(k).encode() for k in range(len(texts))]
+    sets = neardup._split(values, counts)
+    rows = [
+        (name, name, row.tobytes(), neardup.sketch_of(own))
+        for name, row, own in zip(names, signed, sets, strict=True)
+    ]
+    rng.shuffle(rows)
+    classes = spark.createDataFrame(rows, "class binary, label binary, signature binary, sketch binary")
+    without = neardup.neighbours(classes.drop("sketch"), 8).where("b is not null").count()
+    with_sketches = neardup.neighbours(classes, 8).where("b is not null").count()
+    assert without > 1_000 and with_sketches < without // 20
+    runs = [
+        set(tuples(neardup.neighbours(c, 8).where("run is not null").distinct(), "tree", "run"))
+        for c in (classes.drop("sketch"), classes)
+    ]
+    assert runs[0] == runs[1]

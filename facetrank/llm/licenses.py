@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetrank.llm.common import in_arrow, stored
+from facetrank.llm.words import parts_of
 
 THRESHOLD = 0.6
+_PART_BYTES = 1 << 20
 _WORD = re.compile(rb"[a-z0-9][a-z0-9.+-]*")
 LICENSE_FILE = r"(?i)^(licen[sc]e|copying|notice|unlicense)([-._].*)?$"
 
@@ -98,8 +100,9 @@ def _held_words(batches):
     vocabulary = frozenset(VOCABULARY)
     for batch in batches:
         held: Counter = Counter()
-        for text in batch.column(0).to_pylist():
-            held.update(vocabulary.intersection(words_of(text)))
+        for part in parts_of(batch, 0, _PART_BYTES):
+            for text in part.column(0).to_pylist():
+                held.update(vocabulary.intersection(words_of(text)))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(["", *(w.decode() for w in held)], pa.string()),
@@ -112,7 +115,7 @@ def _held_words(batches):
 def _scan(files: int, holding: dict[str, int], threshold: float):
     def run(batches):
         scanner = Scanner(files, holding, threshold)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole, 2, _PART_BYTES)):
             _, paths, texts, flags = (c.to_pylist() for c in batch.columns)
             found = [scanner.scan(t, f) for t, f in zip(texts, flags, strict=True)]
             yield pa.RecordBatch.from_arrays(

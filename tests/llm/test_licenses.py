@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import pyarrow as pa
+
 from facetrank.llm import licenses
 from tests.llm.fixtures import odd_texts, tuples
 
@@ -74,3 +76,19 @@ def test_best_of_several_files_then_the_smaller(spark):
     rows = [(1, "p/LICENSE-a", GPL), (2, "p/LICENSE-b", MIT), (3, "p/x", "code"), (4, "p/LICENSE-c", MIT + " or so")]
     got = {r[0]: r[1] for r in tuples(scanned(spark, rows), "file_id", "license")}
     assert got[3] == min("GPL-3.0", "MIT")
+
+
+def test_texts_of_a_batch_are_taken_by_bytes():
+    texts = [f"{'word ' * 60_000}\n{MIT}".encode(), b"", MIT.encode()] * 8
+    columns = [
+        pa.array(range(len(texts)), pa.int64()),
+        pa.array([f"{i}.txt" for i in range(len(texts))], pa.string()),
+        pa.array(texts, pa.binary()),
+        pa.array([False] * len(texts)),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, ["file_id", "path", "text", "is_license"])
+    found = list(licenses._scan(1, {}, licenses.THRESHOLD)([batch]))
+    assert len(found) >= 3 and max(b.num_rows for b in found) < batch.num_rows
+    rows = [row for b in found for row in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert [r[0] for r in rows] == list(range(len(texts)))
+    assert [r[3] for r in rows] == [None if not t else "MIT" for t in texts]

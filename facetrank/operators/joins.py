@@ -27,18 +27,29 @@ def star_join(
 
 
 def look_up(
-    df: DataFrame, dim: DataFrame, on: tuple[str, str], take: dict[str, str], how: str = "inner"
+    df: DataFrame,
+    dim: DataFrame,
+    on: tuple[str, str],
+    take: dict[str, str],
+    how: str = "inner",
+    read_twice: bool = False,
 ) -> DataFrame:
     """Add columns of a dimension whose key has another name.
 
     ``on`` is (column of df, column of dim); ``take`` maps dimension columns to
-    result names.
+    result names. An inner join leaves out NULL keys as early as the plan allows.
+    Where ``df`` itself comes from rows that are ``read_twice``, that would make two
+    readings of them; then NULL keys, which should be few, go on to the join.
     """
     left_key, right_key = on
     found = dim.select(
         F.col(right_key).alias("_found"), *[F.col(c).alias(name) for c, name in take.items()]
     )
-    return df.join(found, F.col(left_key) == F.col("_found"), how).drop("_found")
+    same = F.col(left_key) == F.col("_found")
+    if read_twice:
+        found = found.where(F.col("_found").isNotNull())
+        same = F.col(left_key).eqNullSafe(F.col("_found"))
+    return df.join(found, same, how).drop("_found")
 
 
 def new_rows(df: DataFrame, known: DataFrame, key: Sequence[str]) -> DataFrame:

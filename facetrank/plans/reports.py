@@ -39,7 +39,8 @@ def best_director(tables: TitleTables, rules: FacetRules = STAGED) -> DataFrame:
 def winners(means: DataFrame, names: DataFrame, rules: FacetRules) -> DataFrame:
     """The named winners among (country, genre, director, weighted_rating) rows.
 
-    Ranks are taken on ids; names come last, for the winners only. Where the
+    Ranks are taken on ids; names come last, for the winners only, and so that the
+    means are worked out once for the maxima and for the rows that reach them. Where the
     rules want unnamed directors out of the contest, ids without a name are left
     out before it.
     """
@@ -48,7 +49,7 @@ def winners(means: DataFrame, names: DataFrame, rules: FacetRules) -> DataFrame:
         names = drop_missing(names, ["primaryName"])
         ids = names.select(F.col("nameId").alias("director"))
         means = means.join(ids, "director", "left_semi")
-    won = look_up(top_ties(means, GROUP, "weighted_rating"), names, on, take)
+    won = look_up(top_ties(means, GROUP, "weighted_rating"), names, on, take, read_twice=True)
     return won.select(*GROUP, "director_name", "weighted_rating")
 
 

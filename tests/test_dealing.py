@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from facetrank import plans
 from facetrank.functions import weighted_mean
-from facetrank.operators import deal, explode_facets
+from facetrank.operators import deal, explode_facets, look_up
 from facetrank.plans.facts import director_means, facet_means
 from facetrank.workload import queries
 from tests.conftest import plan, rows
@@ -123,3 +123,42 @@ def test_own_places_of_genres_are_not_one_key(wide):
     """Rows without a director would all fall into one task; they are dealt by title."""
     text = plan(facet_means(wide, plans.EXACT))
     assert "xxhash64(coalesce(director" in re.sub(r"#\d+L?", "", text) and "hashpartitioning(_dealt" in text
+
+
+def dealings(df) -> int:
+    """How often a finished query dealt credits; a reused exchange is not counted again."""
+    df.collect()
+    final = re.sub(r"#\d+L?", "", plan(df)).split("== Initial Plan ==")[0]
+    return len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(_dealt", re.sub(r"ReusedExchange .*", "", final)))
+
+
+def test_credits_are_dealt_once_for_maxima_and_winners(wide):
+    assert dealings(plans.best_director(wide)) == 1
+    # Once for the genres' own places, once for the directors.
+    assert dealings(plans.facet_report(wide)) == 2
+
+
+@pytest.mark.parametrize("read_twice", [False, True])
+def test_look_up_finds_nothing_for_missing_keys(spark, read_twice):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "key string, n int")
+    dim = spark.createDataFrame([("a", "Ann"), (None, "Nobody"), ("a", None)], "id string, name string")
+    found = look_up(df, dim, ("key", "id"), {"name": "found_name"}, read_twice=read_twice)
+    assert rows(found) == [("a", 1, "Ann"), ("a", 1, None)]
+    kept = look_up(df, dim, ("key", "id"), {"name": "found_name"}, "left", read_twice)
+    assert rows(kept) == [("a", 1, "Ann"), ("a", 1, None), ("b", 3, None), (None, 2, None)]
+
+
+def test_a_missing_director_can_win_and_leaves_the_group_empty(wide):
+    """The maxima count credits without a director, whose names are then not found."""
+    missing = F.array(F.lit(None).cast("string"))
+    title = wide.basics.limit(1).select("titleId").first().titleId
+    one = F.col("titleId") == title
+    tables = wide._replace(
+        crew=wide.crew.withColumn("directors", F.when(one, missing).otherwise(F.col("directors"))),
+        ratings=wide.ratings.withColumn("rating", F.when(one, 99.0).otherwise(F.col("rating"))),
+        names=wide.names.unionByName(
+            wide.names.limit(1).withColumn("nameId", F.lit(None).cast("string"))
+        ),
+    )
+    assert plans.best_director(tables).collect() == []
+    assert len(plans.best_director(wide).collect()) >= ITEMS * ITEMS
